@@ -140,6 +140,16 @@ def visible_scd1(state: DataFrame) -> DataFrame:
 # ----------------------------------------------------------------------------------------
 # SCD type 2
 # ----------------------------------------------------------------------------------------
+def has_hot_keys(feed: DataFrame, keys: Sequence[str], hot_key_rows: int) -> bool:
+    """Whether any key has more than ``hot_key_rows`` feed rows.
+
+    One partially aggregated count per key; only a single boolean reaches the driver. Feed
+    rows bound the versions after tie dedup, so this never misses a hot key.
+    """
+    counts = feed.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    return not counts.filter(F.col("__n") > F.lit(hot_key_rows)).isEmpty()
+
+
 def _chunked(d: DataFrame, keys: list[str], seq: str, hot_key_rows: int | None):
     """Attach ``__chunk``: 0 for ordinary keys, range chunk ids (>= 1) for hot keys."""
     if hot_key_rows is None:
@@ -175,6 +185,9 @@ def scd2(
     keys = _as_list(keys)
     payload = payload_columns(feed, keys, seq, tie_break, except_)
     d = dedup_ties(feed, keys, seq, tie_break, except_).select(*keys, seq, F.struct(*payload).alias("__p"))
+    # the chunked plan costs extra passes; take it only when some key is actually hot
+    if hot_key_rows is not None and not has_hot_keys(feed, keys, hot_key_rows):
+        hot_key_rows = None
 
     parts, hot_rows = _chunked(d, keys, seq, hot_key_rows)
     w = Window.partitionBy(*keys, "__chunk").orderBy(seq)

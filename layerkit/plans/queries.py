@@ -66,6 +66,7 @@ def scd2_noop_suppressed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 LATE_SPLIT = "2024-01-16 00:00:00"
+RAW_FILES_PER_BATCH = 4
 
 
 def scd2_late_arrival(spark: SparkSession, sf: str) -> DataFrame:
@@ -98,7 +99,16 @@ def write_raw(spark: SparkSession, sf: str, raw_root: str, entity: str, first_ba
         lines = lines.filter(F.col("batch") == "00001")
     elif first_batch_only is False:
         lines = lines.filter(F.col("batch") > "00001")
-    lines.write.mode("append").partitionBy("batch").text(f"{raw_root}/{entity}")
+    # a few files per delivery folder: rows of one delivery are spread over RAW_FILES_PER_BATCH
+    # tasks by a hash of the line (a big delivery is not one task, a small one not 1 file per task)
+    salt = F.pmod(F.xxhash64("value"), F.lit(RAW_FILES_PER_BATCH))
+    (
+        lines.repartition("batch", salt)
+        .sortWithinPartitions("batch")
+        .write.mode("append")
+        .partitionBy("batch")
+        .text(f"{raw_root}/{entity}")
+    )
 
 
 def _ingest(spark: SparkSession, sf: str, entity: str) -> DataFrame:

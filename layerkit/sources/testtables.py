@@ -19,10 +19,14 @@ Two shapes are produced:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import PipelineConfig
 from ..functions.clean import CLEANERS, SILVER_COLUMNS
+from ..operators.ranking import rank_within_key
+
+HOT_KEY_ROWS = PipelineConfig(root="").hot_key_rows
 
 # --- fixed values of the fixture rules -----------------------------------------------------
 CUSTOMER_BASE_SEQ = "2023-12-31 00:00:00"  # base version of every customer, before all events
@@ -226,10 +230,15 @@ def json_lines(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
             "__j", F.when(_m(k, 43, 7), _append_field(F.col("__j"), "gift_wrap", F.lit("yes"))).otherwise(F.col("__j"))
         )
 
-    # arrival rank: sequence, then the cleaned payload (same order as the CDC tie-break);
-    # rows without a key are kept (ingest must see them), they rank among themselves
+    # arrival rank: sequence, then the cleaned payload (same order as the CDC tie-break).
+    # Rows without a key are kept (ingest must see them) and all arrive in the first
+    # delivery: silver drops them, so they need no order, and ranking them would put every
+    # one of them into a single window group (one task, one folder per row).
     silver = df.select(*SILVER_COLUMNS[entity](), "_ingested_at", "__j")
     payload = [c for c in silver.columns if c not in (key, "_ingested_at", "__j")]
-    w = Window.partitionBy(key).orderBy("_ingested_at", *payload)
-    ranked = silver.withColumn("__rank", F.row_number().over(w))
+    keyed = rank_within_key(
+        silver.filter(F.col(key).isNotNull()), [key], ["_ingested_at", *payload], hot_key_rows=HOT_KEY_ROWS
+    )
+    keyless = silver.filter(F.col(key).isNull()).withColumn("__rank", F.lit(1))
+    ranked = keyed.select("__rank", "__j").unionByName(keyless.select("__rank", "__j"))
     return ranked.select(F.lpad(F.col("__rank").cast("string"), 5, "0").alias("batch"), F.col("__j").alias("value"))

@@ -45,6 +45,15 @@ def test_rerun_without_new_files_changes_nothing(spark, ran):
     assert counts == {n: pipeline.read_dataset(spark, cfg, n).count() for n in counts}
 
 
+def test_views_skip_refresh_when_inputs_unchanged(spark, ran):
+    cfg, _ = ran
+    views = list(pipeline.VIEW_INPUTS)
+    before = {n: latest_version(spark, cfg.table_path("gold", n)).number for n in views}
+    stats = pipeline.refresh(spark, cfg, only=views)
+    assert all(stats[n]["applied"] is False for n in views)
+    assert before == {n: latest_version(spark, cfg.table_path("gold", n)).number for n in views}
+
+
 def test_catalog_metadata(spark, ran):
     cfg, _ = ran
     rows = {r.dataset: r for r in pipeline.catalog_frame(spark, cfg).collect()}
