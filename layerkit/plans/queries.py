@@ -9,6 +9,7 @@ then run the real streaming/snapshot machinery over them.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -162,10 +163,17 @@ def _pipeline_cfg(spark: SparkSession, label: str) -> PipelineConfig:
     )
 
 
+def write_raw_all(spark: SparkSession, sf: str, raw_root: str, entities=("customers", "orders", "line_items")) -> None:
+    """Render several entities at once (independent jobs, submitted concurrently)."""
+    with ThreadPoolExecutor(max_workers=len(entities), thread_name_prefix="raw") as pool:
+        futures = [pool.submit(write_raw, spark, sf, raw_root, e) for e in entities]
+    for f in futures:
+        f.result()
+
+
 def _full_pipeline(spark: SparkSession, sf: str, label: str) -> PipelineConfig:
     cfg = _pipeline_cfg(spark, label)
-    for entity in ("customers", "orders", "line_items"):
-        write_raw(spark, sf, cfg.raw, entity)
+    write_raw_all(spark, sf, cfg.raw)
     pipeline.refresh(spark, cfg)
     return cfg
 
@@ -187,8 +195,7 @@ def pipeline_selective_refresh(spark: SparkSession, sf: str) -> DataFrame:
     """Full refresh with the first line-item delivery, then the rest of the line items
     arrive and only the line-item chain and the product mart are refreshed."""
     cfg = _pipeline_cfg(spark, "selective")
-    write_raw(spark, sf, cfg.raw, "customers")
-    write_raw(spark, sf, cfg.raw, "orders")
+    write_raw_all(spark, sf, cfg.raw, ("customers", "orders"))
     write_raw(spark, sf, cfg.raw, "line_items", first_batch_only=True)
     pipeline.refresh(spark, cfg)
     write_raw(spark, sf, cfg.raw, "line_items", first_batch_only=False)
