@@ -127,9 +127,9 @@ def _ingest(spark: SparkSession, sf: str, entity: str) -> DataFrame:
 
 def ingest_rescued_data(spark: SparkSession, sf: str) -> DataFrame:
     root = run_dir(spark, "rescue")
+    write_raw_all(spark, sf, f"{root}/raw")
     parts = []
     for entity in ("customers", "orders", "line_items"):
-        write_raw(spark, sf, f"{root}/raw", entity)
         df = read_json_batch(spark, f"{root}/raw/{entity}", SCHEMA_HINTS[entity])
         parts.append(
             df.select(F.lit(entity).alias("entity"), F.col(tt.KEYS[entity]).alias("record_key"), RESCUED)
