@@ -103,3 +103,17 @@ def test_failed_refresh_is_redone_idempotently(spark, scratch):
     assert [v.number for v in committed_versions(spark, t)] == [1]
     v = publish_version(spark, d.filter("k < 5"), t, {"x": 2})
     assert v.number == 2 and spark.read.parquet(v.path).count() == 5
+
+
+def test_latest_version_is_newest_committed_with_its_ledger(spark, scratch):
+    from layerkit.sinks.tables import publish_version
+
+    t = f"{scratch}/lv"
+    assert latest_version(spark, t) is None
+    d = spark.range(3).withColumnRenamed("id", "k")
+    for i in range(1, 4):
+        publish_version(spark, d, t, {"applied_through": i})
+    d.write.parquet(f"{t}/version_00004")  # written but never committed
+    v = latest_version(spark, t)
+    assert (v.number, v.ledger) == (3, {"applied_through": 3})
+    assert [x.number for x in committed_versions(spark, t)] == [1, 2, 3]
