@@ -126,10 +126,19 @@ def scd1_merge(
     seq: str,
     tie_break: Sequence[str] = (),
     except_: Sequence[str] = (),
+    buckets: int | None = None,
 ) -> DataFrame:
-    """Merge new change rows into a stored SCD1 state (hidden columns kept)."""
+    """Merge new change rows into a stored SCD1 state (hidden columns kept).
+
+    With ``buckets`` (``state`` read as a table bucketed by ``keys`` into that many
+    buckets), the new rows are reduced per key (map-side combine) and hash-partitioned the
+    same way, so the final reduce runs bucket by bucket and the stored state is never
+    shuffled.
+    """
     keys = _as_list(keys)
     incoming = to_scd1_state(new_rows, keys, seq, tie_break, except_)
+    if buckets:
+        incoming = scd1_reduce(incoming, keys).repartition(buckets, *keys)
     return scd1_reduce(state.unionByName(incoming), keys)
 
 

@@ -117,3 +117,39 @@ def test_latest_version_is_newest_committed_with_its_ledger(spark, scratch):
     v = latest_version(spark, t)
     assert (v.number, v.ledger) == (3, {"applied_through": 3})
     assert [x.number for x in committed_versions(spark, t)] == [1, 2, 3]
+
+
+def test_bucketed_scd1_merge_equals_plain_and_never_shuffles_the_snapshot(spark, scratch):
+    import contextlib
+    import io
+
+    from pyspark.sql import functions as F
+
+    from layerkit.operators import cdc
+    from layerkit.sinks.tables import read_bucketed, read_version
+    from layerkit.streaming.cdc_apply import apply_scd1
+
+    keys, seq, tb = ["line_item_id"], "_ingested_at", ("_source_file",)
+    feed = queries.silver(spark, SF0001, "line_items")
+    first = feed.filter(F.col(seq) < F.lit("1996-01-01").cast("timestamp_ntz"))
+    later = feed.filter(F.col(seq) >= F.lit("1996-01-01").cast("timestamp_ntz"))
+    got = {}
+    for label, buckets in (("bucketed", 4), ("plain", None)):
+        t = f"{scratch}/scd1-{label}"
+        apply_scd1(spark, first, t, keys, seq, tb, buckets=buckets)  # log at the first refresh
+        assert apply_scd1(spark, feed, t, keys, seq, tb, buckets=buckets)["applied"]  # whole log later
+        got[label] = _rows(cdc.visible_scd1(read_version(spark, latest_version(spark, t))))
+    assert got["bucketed"] == got["plain"] == _rows(cdc.scd1(feed, keys, seq, tb))
+
+    # the merge plan reads the stored version as a bucketed scan, and every shuffle is below
+    # the union, on the new rows' side
+    t = f"{scratch}/scd1-plan"
+    apply_scd1(spark, first, t, keys, seq, tb, buckets=4)
+    state = read_bucketed(spark, latest_version(spark, t), keys, 4)
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        cdc.scd1_merge(state, later, keys, seq, tb, buckets=4).explain()
+    plan = out.getvalue()
+    assert "Bucketed: true" in plan
+    above_union = plan[: plan.index("Union")]
+    assert "Exchange" not in above_union
