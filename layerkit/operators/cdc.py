@@ -247,14 +247,21 @@ def scd2_recompute_touched(
     tie_break: Sequence[str] = (),
     except_: Sequence[str] = (),
     hot_key_rows: int | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Incremental SCD2: rebuild only the keys present in ``new_rows`` from the full log.
 
     Late events (sequence below the current version) land at their sequence position,
     which the stored history alone cannot do once no-op rows were dropped.
+
+    With ``buckets`` (``history`` read as a table bucketed by ``keys``), the anti-join runs
+    bucket by bucket on the stored side and the rebuilt keys are hash-partitioned into the
+    same buckets, so the stored history is never shuffled.
     """
     keys = _as_list(keys)
     touched = new_rows.select(*keys).distinct()
     rebuilt = scd2(log.join(touched, keys, "left_semi"), keys, seq, tie_break, except_, hot_key_rows)
+    if buckets:
+        rebuilt = rebuilt.repartition(buckets, *keys)
     untouched = history.join(touched, keys, "left_anti")
     return untouched.unionByName(rebuilt)
