@@ -174,3 +174,15 @@ def test_bucketed_scd2_apply_equals_plain_and_one_pass(spark, scratch):
         assert apply_scd2(spark, feed, t, keys, seq, tb, buckets=buckets)["applied"]
         got[label] = _rows(read_version(spark, latest_version(spark, t)))
     assert got["bucketed"] == got["plain"] == _rows(cdc.scd2(feed, keys, seq, tb))
+
+
+def test_failed_bucketed_publish_is_redone(spark, scratch):
+    from layerkit.sinks.tables import publish_version
+
+    d = spark.range(10).withColumnRenamed("id", "k")
+    t = f"{scratch}/tb"
+    publish_version(spark, d, t, {"x": 1}, bucket_by=(["k"], 2))
+    d.write.parquet(f"{t}/version_00002")  # half-written, never committed
+    v = publish_version(spark, d.filter("k < 5"), t, {"x": 2}, bucket_by=(["k"], 2))
+    assert v.number == 2 and spark.read.parquet(v.path).count() == 5
+    assert latest_version(spark, t).ledger == {"x": 2}
