@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import run_dir
-from . import packing, token_files
+from . import line_dedup, packing, quality_votes, token_files
 from .common import stored, table
 
 
@@ -25,6 +25,22 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(stored(pieces, "pieces"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the multi-line chunks that an earlier document (or line) has."""
+    d = line_dedup.remove_repeated_chunks(table(spark, sf_dir, "documents"))
+    return d.select("doc_id", "text", "dedup.*")
+
+
+def op6_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, base check and verdict of every document."""
+    q = quality_votes.judged(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    f = F.col("quality.features")
+    return q.select(
+        "doc_id", *[f[c].alias(c) for c in quality_votes.BASE], "quality.base_failed", "quality.kept",
+        F.col("quality.good").alias("p_good"),
+    )
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents written as Arrow files of token sequences, and read back."""
     docs = table(spark, sf_dir, "documents")
@@ -36,9 +52,13 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pack": op1_pack,
+        "op3_line_dedup": op3_line_dedup,
+        "op6_quality_votes": op6_quality_votes,
         "op8_token_files": op8_token_files,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op3_line_dedup": line_dedup.oracle_sql(),
+    }
