@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,3 +48,23 @@ def free_name(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name = f"{name}_"
     return name
+
+
+def ship(df: DataFrame) -> DataFrame:
+    """``df``, after making sure that Python workers can import this package.
+
+    The package's sources go to the workers once per application, as any job's own modules
+    do (``addPyFile``)."""
+    context = df.sparkSession.sparkContext
+    if not getattr(context, "_layerkit_shipped", False):
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        target = os.path.join(tempfile.mkdtemp(), "layerkit-sources.zip")
+        with zipfile.ZipFile(target, "w") as z:
+            for folder, _, names in os.walk(root):
+                for name in names:
+                    if name.endswith(".py"):
+                        path = os.path.join(folder, name)
+                        z.write(path, os.path.relpath(path, os.path.dirname(root)))
+        context.addPyFile(target)
+        context._layerkit_shipped = True
+    return df

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import free_name
+from .common import free_name, ship
 from .tokens import encoded_slices
 
 PER_BUCKET = 8192
@@ -81,7 +81,7 @@ def token_pieces(
                     names=schema.names,
                 )
 
-    return docs.select(id_col, text_col).mapInArrow(cut, schema)
+    return ship(docs.select(id_col, text_col)).mapInArrow(cut, schema)
 
 
 def place(lengths: np.ndarray, seq_len: int) -> tuple[np.ndarray, np.ndarray]:
@@ -135,4 +135,4 @@ def pack(pieces: DataFrame, seq_len: int = 2048, per_bucket: int = PER_BUCKET) -
         return group.append_column("sequence_id", pa.array(ids)).append_column("offset", pa.array(offset))
 
     by = F.pmod(F.xxhash64(*[c for c in carried.columns]), F.lit(buckets)).cast("long")
-    return carried.withColumn(bucket, by).groupBy(bucket).applyInArrow(place_bucket, schema)
+    return ship(carried.withColumn(bucket, by)).groupBy(bucket).applyInArrow(place_bucket, schema)

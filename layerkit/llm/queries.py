@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import run_dir
-from . import line_dedup, packing, quality_votes, token_files
+from . import line_dedup, packing, quality_votes, simhash, token_files
 from .common import stored, table
 
 
@@ -41,6 +41,12 @@ def op6_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    d = simhash.near_duplicates(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return d.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents written as Arrow files of token sequences, and read back."""
     docs = table(spark, sf_dir, "documents")
@@ -54,6 +60,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_pack": op1_pack,
         "op3_line_dedup": op3_line_dedup,
         "op6_quality_votes": op6_quality_votes,
+        "op7_simhash": op7_simhash,
         "op8_token_files": op8_token_files,
     }
 

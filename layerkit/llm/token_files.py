@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import stored
+from .common import ship, stored
 from .tokens import encoded_slices, encoder
 
 BATCH = 256
@@ -169,7 +169,7 @@ def write_token_files(
             )
 
     ordered = docs.select(id_col, text_col).repartitionByRange(id_col).sortWithinPartitions(id_col, text_col)
-    files = stored(ordered.mapInArrow(write, schema), "token-files")
+    files = stored(ship(ordered).mapInArrow(write, schema), "token-files")
     # one row per file: the running sum over them is small however large the data are
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     return files.withColumn("first_token", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).cast("long"))
@@ -207,4 +207,4 @@ def read_token_files(manifest: DataFrame, id_type: T.DataType, id_col: str = "do
 
     n_files = max(1, manifest.count())
     dealt = manifest.select("file", "first_token", "part").repartitionByRange(n_files, "part").drop("part")
-    return dealt.mapInArrow(read, schema)
+    return ship(dealt).mapInArrow(read, schema)
