@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import run_dir
-from . import line_dedup, packing, quality_votes, simhash, token_files
-from .common import stored, table
+from . import kd_shards, line_dedup, mixing, packing, quality_votes, simhash, token_files
+from .common import stored, table, words_of
 
 
 def tokenizer(name: str) -> str:
@@ -31,6 +31,20 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", "text", "dedup.*")
 
 
+def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often the mix takes every document, sources weighing 5, 2, 1 in turn."""
+    text = F.coalesce("text", F.lit(""))
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "source", F.size(words_of(text)).alias("words"), F.md5(text).alias("text_md5"),
+    )
+    # texts are read once; labels join the narrow rows
+    weighted = stored(docs, "mix-docs").join(
+        mixing.label_quality(table(spark, sf_dir, "labels")), F.col("doc_id") == F.col("label_id"), "left",
+    )
+    d = mixing.mix(weighted, F.col("words"), F.col("label_weight"), text_col="text_md5", keep=["doc_id"])
+    return d.select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken", "mix.copies")
+
+
 def op6_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base check and verdict of every document."""
     q = quality_votes.judged(table(spark, sf_dir, "documents"), keep=["doc_id"])
@@ -55,17 +69,26 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op9_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in 16 shards of near equal bytes."""
+    d = kd_shards.shards(table(spark, sf_dir, "documents"), n_shards=16)
+    return d.withColumn("law", F.lit("bytes")).withColumn("grown_shard", F.lit(None).cast("int"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pack": op1_pack,
         "op3_line_dedup": op3_line_dedup,
+        "op5_mix": op5_mix,
         "op6_quality_votes": op6_quality_votes,
         "op7_simhash": op7_simhash,
         "op8_token_files": op8_token_files,
+        "op9_kd_shards": op9_kd_shards,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_line_dedup": line_dedup.oracle_sql(),
+        "op5_mix": mixing.oracle_sql(),
     }
