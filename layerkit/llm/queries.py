@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import run_dir
-from . import kd_shards, line_dedup, mixing, packing, quality_votes, simhash, token_files
+from . import hamming_topk, kd_shards, line_dedup, link_trust, mixing, packing, quality_votes, simhash, token_files
 from .common import stored, table, words_of
 
 
@@ -25,6 +25,11 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(stored(pieces, "pieces"))
 
 
+def op2_hamming_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest codes of every 50th vector."""
+    return hamming_topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the multi-line chunks that an earlier document (or line) has."""
     d = line_dedup.remove_repeated_chunks(table(spark, sf_dir, "documents"))
@@ -75,20 +80,29 @@ def op9_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.withColumn("law", F.lit("bytes")).withColumn("grown_shard", F.lit(None).cast("int"))
 
 
+def op10_link_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict of every page."""
+    return link_trust.judge(table(spark, sf_dir, "pages")).drop("trust", "distrust")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_pack": op1_pack,
+        "op2_hamming_topk": op2_hamming_topk,
         "op3_line_dedup": op3_line_dedup,
         "op5_mix": op5_mix,
         "op6_quality_votes": op6_quality_votes,
         "op7_simhash": op7_simhash,
         "op8_token_files": op8_token_files,
         "op9_kd_shards": op9_kd_shards,
+        "op10_link_trust": op10_link_trust,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_hamming_topk": hamming_topk.oracle_sql(),
         "op3_line_dedup": line_dedup.oracle_sql(),
         "op5_mix": mixing.oracle_sql(),
+        "op10_link_trust": link_trust.oracle_sql(),
     }
