@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import run_dir
-from . import hamming_topk, kd_shards, line_dedup, link_trust, mixing, packing, quality_votes, simhash, token_files
+from . import hamming_topk, kd_shards, line_dedup, link_trust, mixing, packing, quality_votes, secret_scan, simhash, token_files
 from .common import stored, table, words_of
 
 
@@ -36,6 +36,11 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", "text", "dedup.*")
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secret candidates of every document with the forest's verdict."""
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often the mix takes every document, sources weighing 5, 2, 1 in turn."""
     text = F.coalesce("text", F.lit(""))
@@ -90,6 +95,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_pack": op1_pack,
         "op2_hamming_topk": op2_hamming_topk,
         "op3_line_dedup": op3_line_dedup,
+        "op4_secret_scan": op4_secret_scan,
         "op5_mix": op5_mix,
         "op6_quality_votes": op6_quality_votes,
         "op7_simhash": op7_simhash,
