@@ -4,23 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import run_dir
 from . import hamming_topk, kd_shards, line_dedup, link_trust, mixing, packing, quality_votes, secret_scan, simhash, token_files
 from .common import stored, table, words_of
-
-
-def tokenizer(name: str) -> str:
-    import public_tokenizers
-
-    return str(public_tokenizers.path(name))
+from .tokens import public_tokenizer
 
 
 def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents packed into sequences of at most 2048 tokens."""
-    pieces = packing.token_pieces(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+    pieces = packing.token_pieces(table(spark, sf_dir, "documents"), public_tokenizer("byte_bpe_50k.json"))
     pieces = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return packing.pack(stored(pieces, "pieces"))
 
@@ -74,7 +70,7 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents written as Arrow files of token sequences, and read back."""
     docs = table(spark, sf_dir, "documents")
-    files = token_files.write_token_files(docs, run_dir(spark, "token-files"), tokenizer("word_bpe_49k.json"))
+    files = token_files.write_token_files(docs, run_dir(spark, "token-files"), public_tokenizer("word_bpe_49k.json"))
     back = token_files.read_token_files(files, docs.schema["doc_id"].dataType)
     return back.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
@@ -92,6 +88,7 @@ def op10_link_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "pipeline": corpus_pipeline.run,
         "op1_pack": op1_pack,
         "op2_hamming_topk": op2_hamming_topk,
         "op3_line_dedup": op3_line_dedup,
@@ -106,9 +103,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
+    found = {
         "op2_hamming_topk": hamming_topk.oracle_sql(),
         "op3_line_dedup": line_dedup.oracle_sql(),
         "op5_mix": mixing.oracle_sql(),
         "op10_link_trust": link_trust.oracle_sql(),
     }
+    return found | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

@@ -231,13 +231,40 @@ def near_duplicates(
     printed = with_fingerprints(docs.select(*[F.col(f"`{c}`") for c in used]), text_col, shingle=shingle)
     fp = printed.columns[-1]
     printed = stored(printed.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*columns, id_col, fp])]), "fingerprints")
-    classes = stored(printed.groupBy(F.col(fp).alias("p")).agg(F.min(F.col(f"`{id_col}`")).alias("least")), "classes")
+    of_class = _classes(printed, fp, id_col, distance)
+    out = free_name(printed, "component_id")
+    return printed.join(of_class, F.col(f"`{fp}`") == F.col("p")).select(
+        *[F.col(f"`{c}`") for c in columns], F.col(f"`{fp}`"), F.col("smallest").alias(out),
+    )
+
+
+def _classes(printed: DataFrame, fp: str, id_col: str, distance: int) -> DataFrame:
+    """(p, component, smallest) of every distinct fingerprint: smallest id of its component."""
+    classes = printed.groupBy(F.col(f"`{fp}`").alias("p")).agg(F.min(F.col(f"`{id_col}`")).alias("least"))
+    classes = stored(classes, "classes")
     found = components(links(classes.select("p"), distance))
     labelled = classes.join(found.withColumnRenamed("node", "p"), "p", "left")
     labelled = labelled.withColumn("component", F.coalesce("component", "p"))
     smallest = labelled.groupBy("component").agg(F.min("least").alias("smallest"))
-    of_class = stored(labelled.join(smallest, "component").select("p", "smallest"), "class-components")
-    out = free_name(printed, "component_id")
-    return printed.join(of_class, F.col(fp) == F.col("p")).select(
-        *[F.col(f"`{c}`") for c in columns], F.col(fp), F.col("smallest").alias(out),
-    )
+    return stored(labelled.join(smallest, "component").select("p", "component", "smallest"), "class-components")
+
+
+def one_of_each(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = 4, shingle: int = 4,
+) -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest id.
+
+    Rows with null ids only stay where their component has no other. Of several rows with the
+    smallest id the one with the lowest hash of all columns stays, once if repeated.
+    """
+    printed = with_fingerprints(docs, text_col, shingle=shingle)
+    fp = printed.columns[-1]
+    k = free_name(printed, "row_hash")
+    printed = stored(printed.withColumn(k, F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])), "fingerprints")
+    thin = printed.select(F.col(f"`{fp}`").alias("p"), F.col(f"`{id_col}`").alias("id"), F.col(f"`{k}`").alias("k"))
+    order = F.struct(F.col("id").isNull().alias("no_id"), "id", "k")
+    first = thin.join(_classes(printed, fp, id_col, distance), "p").groupBy("component").agg(F.min(F.struct(order.alias("o"), "p")).alias("m"))
+    chosen = first.select(F.col("m.p").alias("chosen_p"), F.col("m.o.k").alias("chosen_k"))
+    kept = printed.join(chosen, (F.col(f"`{fp}`") == F.col("chosen_p")) & (F.col(f"`{k}`") == F.col("chosen_k")), "left_semi")
+    row = F.first(F.struct(*[F.col(f"`{c}`") for c in docs.columns]))
+    return kept.groupBy(fp, k).agg(row.alias("row")).select("row.*")

@@ -150,6 +150,13 @@ class TextEncoder:
             done += len(here)
 
 
+def public_tokenizer(name: str) -> str:
+    """Path of an installed public tokenizer file."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
 _ENCODERS: dict[str, TextEncoder] = {}
 
 
