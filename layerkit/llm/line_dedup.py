@@ -104,8 +104,9 @@ def remove_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: st
         F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("removed_chunks"),
         F.coalesce(lost, F.lit(0)).cast("long").alias("removed_lines"),
     )
-    columns = [left.alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns]
-    return d.select(*columns, info.alias(out))
+    d = d.select("row", left.alias("left"), info.alias("info"))  # names of ``docs`` come back only now
+    columns = [F.col("left").alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns]
+    return d.select(*columns, F.col("info").alias(out))
 
 
 def oracle_sql(documents: str = "documents") -> str:

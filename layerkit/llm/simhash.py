@@ -231,11 +231,9 @@ def near_duplicates(
     printed = with_fingerprints(docs.select(*[F.col(f"`{c}`") for c in used]), text_col, shingle=shingle)
     fp = printed.columns[-1]
     printed = stored(printed.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*columns, id_col, fp])]), "fingerprints")
-    of_class = _classes(printed, fp, id_col, distance)
-    out = free_name(printed, "component_id")
-    return printed.join(of_class, F.col(f"`{fp}`") == F.col("p")).select(
-        *[F.col(f"`{c}`") for c in columns], F.col(f"`{fp}`"), F.col("smallest").alias(out),
-    )
+    p, out = free_name(printed, "class_print"), free_name(printed, "component_id")
+    of_class = _classes(printed, fp, id_col, distance).select(F.col("p").alias(p), F.col("smallest").alias(out))
+    return printed.join(of_class, F.col(f"`{fp}`") == F.col(p)).select(*[F.col(f"`{c}`") for c in columns], F.col(f"`{fp}`"), out)
 
 
 def _classes(printed: DataFrame, fp: str, id_col: str, distance: int) -> DataFrame:
@@ -264,7 +262,8 @@ def one_of_each(
     thin = printed.select(F.col(f"`{fp}`").alias("p"), F.col(f"`{id_col}`").alias("id"), F.col(f"`{k}`").alias("k"))
     order = F.struct(F.col("id").isNull().alias("no_id"), "id", "k")
     first = thin.join(_classes(printed, fp, id_col, distance), "p").groupBy("component").agg(F.min(F.struct(order.alias("o"), "p")).alias("m"))
-    chosen = first.select(F.col("m.p").alias("chosen_p"), F.col("m.o.k").alias("chosen_k"))
-    kept = printed.join(chosen, (F.col(f"`{fp}`") == F.col("chosen_p")) & (F.col(f"`{k}`") == F.col("chosen_k")), "left_semi")
+    p, h = free_name(printed, "chosen_print"), free_name(printed, "chosen_hash")
+    chosen = first.select(F.col("m.p").alias(p), F.col("m.o.k").alias(h))
+    kept = printed.join(chosen, (F.col(f"`{fp}`") == F.col(p)) & (F.col(f"`{k}`") == F.col(h)), "left_semi")
     row = F.first(F.struct(*[F.col(f"`{c}`") for c in docs.columns]))
     return kept.groupBy(fp, k).agg(row.alias("row")).select("row.*")

@@ -1,0 +1,72 @@
+import random
+import re
+from collections import Counter
+
+from layerkit.llm import quality_votes as Q
+
+
+def brute(text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    windows = [tuple(w[i:i + 8]) for i in range(len(w) - 7)]
+    found = Counter(windows)
+    inside = {j for i, x in enumerate(windows) if found[x] > 1 for j in range(i, i + 8)}
+    return (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), len(inside))
+
+
+def test_counts_against_brute_force(make_docs, odd):
+    r = random.Random(5)
+    rows = list(odd)
+    for i in range(200):
+        words = [r.choice(["a", "b", "cé", "#d", "E!"]) for _ in range(r.randint(0, 60))]
+        rows.append((100 + i, "".join(w + r.choice([" ", "  ", "\n", "\t", " \n"]) for w in words)))
+    got = Q.with_features(make_docs(rows, clashing=True))
+    for x in got.collect():
+        f = x["features_"]
+        assert tuple(f[c] for c in Q.BASE) == brute(x.text), x.text
+
+
+def corpus():
+    r = random.Random(7)
+    vocab = ["".join(r.choice("abcdefgh") for _ in range(r.randint(2, 8))) for _ in range(3000)]
+    prose = lambda n: ". ".join(" ".join(r.choice(vocab) for _ in range(9)).capitalize() for _ in range(n)) + "."
+    rows = [(i, prose(r.randint(4, 30)), "good") for i in range(400)]
+    rows += [(1000 + i, " | ".join(r.choice(vocab) for _ in range(80)), "bad") for i in range(30)]
+    rows += [(2000 + i, prose(10).upper().replace(" ", "!! "), "bad") for i in range(30)]
+    rows += [(3000 + i, " ".join([r.choice(vocab)] * 90), "bad") for i in range(30)]
+    return rows
+
+
+def test_clean_documents_stay_and_each_kind_of_junk_goes(make_docs):
+    got = Q.judged(make_docs(corpus())).collect()
+    kept = Counter((x.source, x.doc_id // 1000, x.quality.kept) for x in got)
+    assert kept[("good", 0, True)] == 400
+    for kind in (1, 2, 3):
+        assert kept[("bad", kind, False)] == 30
+
+
+def test_fit_estimates_accuracies():
+    """Votes drawn from known accuracies give them back."""
+    r = random.Random(2)
+    right = [(0.6, 0.9995), (0.7, 0.9995), (0.5, 0.9995), (0.8, 0.9995)]
+    counts = Counter()
+    for _ in range(40_000):
+        good = r.random() < 0.8
+        p = 0
+        for j, (b, g) in enumerate(right):
+            said_good = r.random() < (g if good else 1 - b)
+            p += (2 if said_good else 0) * 3**j if r.random() < 0.9 else 3**j
+        counts[p] += 1
+    m = Q.fit(dict(counts), 4)
+    assert abs(m.good - 0.8) < 0.02
+    for j, (b, _) in enumerate(right):
+        assert abs(m.right[0][j] - b) < 0.03
+
+
+def test_odd_rows_and_empty_table(make_docs, odd):
+    rows = Q.judged(make_docs(odd, clashing=True)).collect()
+    assert len(rows) == len(odd)
+    by_id = {x.doc_id: x["quality_"] for x in rows}
+    assert by_id[1].base_failed and by_id[2].base_failed and not by_id[3].kept
+    assert by_id[6] == by_id[7]
+    assert Q.judged(make_docs([])).count() == 0

@@ -1,0 +1,49 @@
+import random
+
+from layerkit.llm import secret_scan as S
+
+
+def corpus(n, seed):
+    r = random.Random(seed)
+    vocab = ["".join(r.choice(["the", "ing", "tion", "er", "and", "on", "st", "re"]) for _ in range(r.randint(1, 3))) for _ in range(300)]
+    rows, truth = [], {}
+    for i in range(n):
+        words = [r.choice(vocab) for _ in range(60)]
+        words[5] = "".join(r.choice(vocab) for _ in range(4))[:24].ljust(18, "e")  # a long word
+        words[20] = "".join(r.choice("0123456789") for _ in range(16))
+        if i % 3 == 0:
+            secret = "".join(r.choice("0123456789abcdef") for _ in range(40))
+            words[30] = f'{r.choice(["token", "api_key", "password"])} = "{secret}"'
+            truth[i] = secret
+        if i % 7 == 0:  # no credential word beside it
+            secret = "".join(r.choice("0123456789abcdef") for _ in range(40))
+            words[40] = f"'{secret}'"
+            truth[i] = truth.get(i, "") + secret
+        rows.append((i, " ".join(words), f"src{i % 4}"))
+    return rows, truth
+
+
+def test_held_out_accuracy(make_docs):
+    """Trained on one corpus, scored on another, against what was planted there."""
+    train_rows, _ = corpus(400, 1)
+    held, truth = corpus(300, 2)
+    docs = make_docs(train_rows, clashing=True)
+    stats = S.corpus_statistics(docs)
+    model = S.train(S.labelled(S.candidates(docs, *stats)))
+    got = S.scored(S.candidates(make_docs(held), *stats), model).collect()
+    text = {i: t for i, t, _ in held}
+    right = sum(x.secret == (text[x.doc_id][x.start:x.start + x.length] in truth.get(x.doc_id, "")) for x in got)
+    assert len(got) > 700 and right / len(got) > 0.97
+    assert {x.doc_id for x in got if x.secret} >= {i for i in truth if i % 3 == 0}
+
+
+def test_every_candidate_is_found_whole(make_docs, odd):
+    rows = odd + [(50, "x " * 50_000 + "token='0123456789abcdefABCDEF99'"), (51, "a" * 300)]
+    got = {(x.doc_id, x.start, x.length) for x in S.scan(make_docs(rows, clashing=True)).collect()}
+    assert (50, 100_007, 24) in got and (51, 0, 300) in got
+
+
+def test_one_label_only_removes_nothing(make_docs):
+    got = S.scan(make_docs([(1, "the ordinarywordthatislong the the")])).collect()
+    assert [x.secret for x in got] == [True]
+    assert S.scan(make_docs([])).count() == 0
