@@ -14,22 +14,26 @@ Scale notes:
 
 * SCD1 is one ``groupBy(keys).agg(max(struct))``: partial aggregation collapses a hot key
   on the map side, so no task ever holds a whole key.
-* SCD2 needs ordered neighbours per key. Keys with more than ``hot_key_rows`` versions are
-  range-partitioned on ``(key, seq)`` into chunks, each chunk is processed by its own task,
-  and chunk borders are stitched with a per-chunk summary whose size is bounded by the
-  number of chunks plus the number of hot keys (at most rows / hot_key_rows).
+* SCD2 needs ordered neighbours per key. Versions are ordered within (key, chunk), chunks
+  being ranges of the sequence that hold about ``chunk_rows`` rows of the feed (``chunks.py``),
+  and the borders of a key's chunks are stitched by a second window over one row per (key,
+  chunk). All keys take this plan; a feed of up to ``chunk_rows`` rows is a single chunk.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .chunks import chunk_bounds, chunk_of
+
 START_AT = "__START_AT"
 END_AT = "__END_AT"
 HIDDEN_SEQ = "__seq"
+RESERVED = (START_AT, END_AT, HIDDEN_SEQ)
 
 
 def _as_list(x: str | Sequence[str]) -> list[str]:
@@ -39,9 +43,12 @@ def _as_list(x: str | Sequence[str]) -> list[str]:
 def payload_columns(
     df: DataFrame, keys: Sequence[str], seq: str, tie_break: Sequence[str] = (), except_: Sequence[str] = ()
 ) -> list[str]:
-    """Tracked columns: everything but keys, sequence, tie-break and excluded columns."""
+    """Tracked columns: everything but keys, sequence, tie-break and excluded columns.
+
+    Tie-break columns are delivery metadata (file, arrival), which a redelivery changes. A
+    business column that should break ties and be tracked goes in under a second name."""
     skip = set(keys) | {seq} | set(tie_break) | set(except_)
-    return [c for c in df.columns if c not in skip and not c.startswith("__")]
+    return [c for c in df.columns if c not in skip and c not in RESERVED]
 
 
 def _hidden_tb(i: int) -> str:
@@ -92,8 +99,13 @@ def to_scd1_state(
     )
 
 
+def is_hidden(column: str) -> bool:
+    """Whether a stored column is the sequence or a tie-break kept beside the visible ones."""
+    return column == HIDDEN_SEQ or re.fullmatch(r"__tb\d+", column) is not None
+
+
 def _hidden_cols(df: DataFrame) -> list[str]:
-    return [HIDDEN_SEQ] + sorted(c for c in df.columns if c.startswith("__tb"))
+    return [HIDDEN_SEQ] + sorted(c for c in df.columns if c != HIDDEN_SEQ and is_hidden(c))
 
 
 def scd1_reduce(state: DataFrame, keys: str | Sequence[str]) -> DataFrame:
@@ -143,86 +155,56 @@ def scd1_merge(
 
 
 def visible_scd1(state: DataFrame) -> DataFrame:
-    return state.select(*[c for c in state.columns if not c.startswith("__")])
+    return state.select(*[c for c in state.columns if not is_hidden(c)])
 
 
 # ----------------------------------------------------------------------------------------
 # SCD type 2
 # ----------------------------------------------------------------------------------------
-def has_hot_keys(feed: DataFrame, keys: Sequence[str], hot_key_rows: int) -> bool:
-    """Whether any key has more than ``hot_key_rows`` feed rows.
-
-    One partially aggregated count per key; only a single boolean reaches the driver. Feed
-    rows bound the versions after tie dedup, so this never misses a hot key.
-    """
-    counts = feed.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    return not counts.filter(F.col("__n") > F.lit(hot_key_rows)).isEmpty()
-
-
-def _chunked(d: DataFrame, keys: list[str], seq: str, hot_key_rows: int | None):
-    """Attach ``__chunk``: 0 for ordinary keys, range chunk ids (>= 1) for hot keys."""
-    if hot_key_rows is None:
-        return d.withColumn("__chunk", F.lit(0)), None
-    counts = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    # at most rows / hot_key_rows keys pass this filter: a proven bound for the broadcast
-    hot = counts.filter(F.col("__n") > F.lit(hot_key_rows)).select(*keys, F.lit(True).alias("__hot"))
-    tagged = d.join(F.broadcast(hot), keys, "left")
-    cold = tagged.filter(F.col("__hot").isNull()).drop("__hot").withColumn("__chunk", F.lit(0))
-    hot_rows = (
-        tagged.filter(F.col("__hot")).drop("__hot")
-        # sampled range bounds on (key, seq) split one key across many tasks
-        .repartitionByRange(*keys, seq)
-        .withColumn("__chunk", F.spark_partition_id() + F.lit(1))
-    )
-    return cold.unionByName(hot_rows), hot_rows
-
-
 def scd2(
     feed: DataFrame,
     keys: str | Sequence[str],
     seq: str,
     tie_break: Sequence[str] = (),
     except_: Sequence[str] = (),
-    hot_key_rows: int | None = None,
+    chunk_rows: int | None = None,
 ) -> DataFrame:
     """``APPLY CHANGES ... STORED AS SCD TYPE 2``: full history with validity ranges.
 
     A row opens a version when its payload differs (null-safe) from the previous row of the
     key in sequence order; ``__START_AT`` is its sequence value and ``__END_AT`` the
     sequence value of the next version (NULL while current).
+
+    ``chunk_rows``: feed rows per chunk of the sequence (None: one chunk). Only the sequence
+    column is read to find the bounds.
     """
     keys = _as_list(keys)
     payload = payload_columns(feed, keys, seq, tie_break, except_)
     d = dedup_ties(feed, keys, seq, tie_break, except_).select(*keys, seq, F.struct(*payload).alias("__p"))
-    # the chunked plan costs extra passes; take it only when some key is actually hot
-    if hot_key_rows is not None and not has_hot_keys(feed, keys, hot_key_rows):
-        hot_key_rows = None
+    bounds = chunk_bounds(feed, seq, chunk_rows)
+    d = d.withColumn("__chunk", chunk_of(d, seq, bounds))
 
-    parts, hot_rows = _chunked(d, keys, seq, hot_key_rows)
     w = Window.partitionBy(*keys, "__chunk").orderBy(seq)
     prev: Column = F.lag("__p").over(w)
-    if hot_rows is not None:
-        # last payload of the previous chunk of the same key (only hot keys have several)
-        cw = Window.partitionBy(*keys).orderBy("__chunk")
+    parts = d
+    across = Window.partitionBy(*keys).orderBy("__chunk")
+    if bounds:
+        # last payload of the key's previous chunk: one row per (key, chunk), at most MOST per key
         borders = (
-            hot_rows.groupBy(*keys, "__chunk")
-            .agg(F.max_by("__p", seq).alias("__last_p"))
-            .select(*keys, "__chunk", F.lag("__last_p").over(cw).alias("__prev_last_p"))
+            d.groupBy(*keys, "__chunk").agg(F.max_by("__p", seq).alias("__last_p"))
+            .select(*keys, "__chunk", F.lag("__last_p").over(across).alias("__prev_last_p"))
         )
-        parts = parts.join(F.broadcast(borders), [*keys, "__chunk"], "left")
+        parts = _join_null_safe(d, borders, [*keys, "__chunk"])
         prev = F.coalesce(prev, F.col("__prev_last_p"))
 
     kept = parts.withColumn("__prev", prev).filter(~F.col("__prev").eqNullSafe(F.col("__p")))
     end: Column = F.lead(seq).over(w)
-    if hot_rows is not None:
-        cw = Window.partitionBy(*keys).orderBy("__chunk")
+    if bounds:
         firsts = (
-            kept.filter(F.col("__chunk") > 0)
-            .groupBy(*keys, "__chunk")
-            .agg(F.min(seq).alias("__first_kept"))
-            .select(*keys, "__chunk", F.lead("__first_kept").over(cw).alias("__next_first"))
+            kept.groupBy(*keys, "__chunk").agg(F.min(seq).alias("__first_kept"))
+            .select(*keys, "__chunk", F.lead("__first_kept").over(across).alias("__next_first"))
         )
-        kept = kept.join(F.broadcast(firsts), [*keys, "__chunk"], "left")
+        kept = _join_null_safe(kept, firsts, [*keys, "__chunk"])
         end = F.coalesce(end, F.col("__next_first"))
 
     visible = [c for c in feed.columns if c in set(keys) | set(payload)]
@@ -233,6 +215,15 @@ def scd2(
     )
 
 
+def _join_null_safe(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """Left join on columns that may be null; ``right`` has each combination once at most."""
+    r = right.select(*[F.col(c).alias(f"__on_{i}") for i, c in enumerate(on)], *[c for c in right.columns if c not in on])
+    match = F.lit(True)
+    for i, c in enumerate(on):
+        match = match & left[c].eqNullSafe(r[f"__on_{i}"])
+    return left.join(r, match, "left").drop(*[f"__on_{i}" for i in range(len(on))])
+
+
 def current_rows(history: DataFrame) -> DataFrame:
     """Current version of each key: ``WHERE __END_AT IS NULL``."""
     return history.filter(F.col(END_AT).isNull())
@@ -246,7 +237,7 @@ def scd2_recompute_touched(
     seq: str,
     tie_break: Sequence[str] = (),
     except_: Sequence[str] = (),
-    hot_key_rows: int | None = None,
+    chunk_rows: int | None = None,
     buckets: int | None = None,
 ) -> DataFrame:
     """Incremental SCD2: rebuild only the keys present in ``new_rows`` from the full log.
@@ -260,7 +251,7 @@ def scd2_recompute_touched(
     """
     keys = _as_list(keys)
     touched = new_rows.select(*keys).distinct()
-    rebuilt = scd2(log.join(touched, keys, "left_semi"), keys, seq, tie_break, except_, hot_key_rows)
+    rebuilt = scd2(log.join(touched, keys, "left_semi"), keys, seq, tie_break, except_, chunk_rows)
     if buckets:
         rebuilt = rebuilt.repartition(buckets, *keys)
     untouched = history.join(touched, keys, "left_anti")

@@ -1,0 +1,57 @@
+"""Chunks of an ordered feed: how one hot key is spread over many tasks.
+
+A chunk number is a function of the row alone: which of a few fixed bounds its order value
+lies above. So every reader of the rows, every retry and every adaptive re-plan gives the same
+chunks. The bounds are approximate quantiles of the order column over the whole feed, as many
+as the number of rows asks for (one chunk up to ``chunk_rows`` rows, at most ``MOST``), so a
+chunk of any key has about ``chunk_rows`` rows however hot the key is, as long as the rows of
+one key differ in the order column.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+MOST = 1024
+
+
+def _number(df: DataFrame, order: str) -> Column | None:
+    """The order column as a number that keeps its order, or None for other types."""
+    kind = df.schema[order].dataType
+    c = F.col(f"`{order}`")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return F.unix_micros(c.cast("timestamp"))
+    if isinstance(kind, (T.IntegralType, T.FloatType, T.DoubleType)):
+        return c
+    return None
+
+
+def chunk_bounds(df: DataFrame, order: str, chunk_rows: int | None) -> list:
+    """Ascending bounds between the chunks of ``df``; one aggregate over one column.
+
+    None, or an order column that is neither a number nor a time: no bounds, one chunk."""
+    value = _number(df, order)
+    if chunk_rows is None or value is None:
+        return []
+    n = df.select(value.alias("v")).agg(F.count("*")).first()[0]
+    chunks = min(MOST, -(-n // chunk_rows))
+    if chunks < 2:
+        return []
+    at = [i / chunks for i in range(1, chunks)]
+    found = df.select(value.alias("v")).agg(F.percentile_approx("v", at, 10_000)).first()[0]  # at most MOST numbers
+    return sorted(set(found or []))
+
+
+def chunk_of(df: DataFrame, order: str, bounds: list) -> Column:
+    """The number of bounds that lie below the row's value: a balanced tree of comparisons."""
+    value = _number(df, order)
+
+    def between(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(value > F.lit(bounds[mid]), between(mid + 1, hi)).otherwise(between(lo, mid))
+
+    return between(0, len(bounds))
