@@ -59,22 +59,3 @@ KEY = {"customers": "customer_id", "orders": "order_id", "line_items": "line_ite
 def clean(bronze: DataFrame, entity: str) -> DataFrame:
     """``SELECT <clean columns>, _ingested_at, _source_file FROM bronze WHERE key IS NOT NULL``."""
     return bronze.filter(F.col(KEY[entity]).isNotNull()).select(*SILVER_COLUMNS[entity](), *META)
-
-
-def silver_customers(bronze: DataFrame) -> DataFrame:
-    return clean(bronze, "customers")
-
-
-def silver_orders(bronze: DataFrame) -> DataFrame:
-    return clean(bronze, "orders")
-
-
-def silver_line_items(bronze: DataFrame) -> DataFrame:
-    return clean(bronze, "line_items")
-
-
-CLEANERS = {
-    "customers": silver_customers,
-    "orders": silver_orders,
-    "line_items": silver_line_items,
-}

@@ -6,8 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Money is summed as exact decimals (2 fractional digits) so results do not depend on
-# the order in which a distributed SUM adds doubles; outputs stay DOUBLE.
-MONEY = "decimal(18,2)"
+# the order in which a distributed SUM adds doubles; outputs stay DOUBLE. 26 digits before the
+# point, so that a sum (38 digits) has room for 10^10 of the largest amounts.
+MONEY = "decimal(28,2)"
 
 
 def col_(c: str | Column) -> Column:
@@ -26,25 +27,23 @@ def round2(c: str | Column) -> Column:
 
 
 def money(c: str | Column) -> Column:
-    return col_(c).cast(MONEY)
-
-
-def sum_money(c: str | Column) -> Column:
-    """Exact sum of 2-decimal amounts, as a decimal (cast to double at the very end)."""
-    return F.sum(money(c))
+    """An amount as an exact decimal; NULL where it does not fit (10^26 and more, NaN, infinity),
+    so that such a row leaves the sums and averages and does not fail the query."""
+    return col_(c).try_cast(MONEY)
 
 
 def exact_avg2(total: Column, count: Column) -> Column:
-    """ROUND(total / count, 2) in exact decimal arithmetic, returned as DOUBLE.
+    """ROUND(total / count, 2) half-up, as DOUBLE, rounded once.
 
-    ``total`` is a decimal (or integral) sum; the division keeps >= 12 fractional digits,
-    so half-up rounding to cents is exact for any realistic group size.
+    ``total``: a sum with at most 2 fractional digits. In whole cents the result is
+    floor((2 * |cents| + n) / (2 * n)); the remainder is taken off first, so the division is
+    exact and no quotient is cut to a few digits before it is rounded.
     """
-    return F.round(total / count, 2).cast("double")
-
-
-def to_double(c: Column) -> Column:
-    return c.cast("double")
+    cents = (F.abs(total) * F.lit(100)).cast("decimal(38,0)")
+    n = count.cast("decimal(20,0)")
+    top, bottom = (F.lit(2) * cents + n).cast("decimal(38,0)"), (F.lit(2) * n).cast("decimal(21,0)")
+    whole = ((top - top % bottom) / bottom).cast("decimal(38,0)")
+    return F.signum(total.cast("double")) * (whole.cast("double") / F.lit(100.0))
 
 
 def month_start(c: str | Column) -> Column:
