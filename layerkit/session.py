@@ -33,12 +33,15 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8, app: s
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (a bare local test session) do we set our own.
+    Only a local session (one machine, as in tests) gets one of its own where none is set: on a
+    cluster, a folder of the driver is not one that executors see.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="layerkit-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
