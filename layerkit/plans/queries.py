@@ -11,22 +11,23 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import SCHEMA_HINTS, PipelineConfig
 from ..functions.clean import clean
 from ..operators import cdc, marts
 from ..session import run_dir
-from ..sinks.tables import run_append_stream, write_clustered
+from ..sinks.tables import latest_version, read_version, run_append_stream, write_clustered
 from ..sources import testtables as tt
 from ..sources.json_ingest import RESCUED, read_json_batch, read_json_stream
+from ..streaming.cdc_apply import apply_scd1, apply_scd2
 from . import pipeline
 
 SEQ = "_ingested_at"
 TIE = ("_source_file",)
-# keys with more versions than this go through the chunked SCD2 path
-HOT_KEY_ROWS = PipelineConfig(root="").hot_key_rows
+# feed rows per chunk of the sequence in SCD2
+CHUNK_ROWS = PipelineConfig(root="").chunk_rows
 
 
 # ----------------------------------------------------------------------------------------
@@ -44,8 +45,8 @@ def fact_line_items(spark: SparkSession, sf: str) -> DataFrame:
     return cdc.scd1(silver(spark, sf, "line_items"), "line_item_id", SEQ, TIE)
 
 
-def dim_customers(spark: SparkSession, sf: str, hot_key_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
-    return cdc.scd2(silver(spark, sf, "customers"), "customer_id", SEQ, TIE, hot_key_rows=hot_key_rows)
+def dim_customers(spark: SparkSession, sf: str, chunk_rows: int | None = CHUNK_ROWS) -> DataFrame:
+    return cdc.scd2(silver(spark, sf, "customers"), "customer_id", SEQ, TIE, chunk_rows=chunk_rows)
 
 
 def mv_sales_by_region_monthly(spark: SparkSession, sf: str) -> DataFrame:
@@ -63,11 +64,10 @@ def scd2_noop_suppressed(spark: SparkSession, sf: str) -> DataFrame:
     again = feed.filter(F.col("_source_file") == "customer").withColumns(
         {SEQ: F.lit("2023-12-31 12:00:00").cast("timestamp_ntz"), "_source_file": F.lit("customer-redelivery")}
     )
-    return cdc.scd2(feed.unionByName(again), "customer_id", SEQ, TIE, hot_key_rows=HOT_KEY_ROWS)
+    return cdc.scd2(feed.unionByName(again), "customer_id", SEQ, TIE, chunk_rows=CHUNK_ROWS)
 
 
 LATE_SPLIT = "2024-01-16 00:00:00"
-RAW_FILES_PER_BATCH = 4
 
 
 def scd2_late_arrival(spark: SparkSession, sf: str) -> DataFrame:
@@ -77,12 +77,70 @@ def scd2_late_arrival(spark: SparkSession, sf: str) -> DataFrame:
     late_cut = F.lit(LATE_SPLIT).cast("timestamp_ntz")
     first = feed.filter(F.col(SEQ) >= late_cut)
     late = feed.filter(F.col(SEQ) < late_cut)
-    hist = cdc.scd2(first, "customer_id", SEQ, TIE, hot_key_rows=HOT_KEY_ROWS)
+    hist = cdc.scd2(first, "customer_id", SEQ, TIE, chunk_rows=CHUNK_ROWS)
     return cdc.scd2_recompute_touched(
-        hist, first.unionByName(late), late, "customer_id", SEQ, TIE, hot_key_rows=HOT_KEY_ROWS
+        hist, first.unionByName(late), late, "customer_id", SEQ, TIE, chunk_rows=CHUNK_ROWS
     )
 
 
+SKEW_CHUNK_ROWS = 250
+
+
+def skewed_customers(spark: SparkSession, sf: str) -> DataFrame:
+    """The customer feed with nine in ten change events on customer 1."""
+    feed = silver(spark, sf, "customers")
+    moved = (F.col("_source_file") == "events") & (F.unix_timestamp(F.col(SEQ).cast("timestamp")) % 10 != 0)
+    return feed.withColumn("customer_id", F.when(moved, F.lit("1")).otherwise(F.col("customer_id")))
+
+
+def scd2_skewed_key(spark: SparkSession, sf: str) -> DataFrame:
+    """History of a feed with one hot key, built in many chunks of the sequence."""
+    return cdc.scd2(skewed_customers(spark, sf), "customer_id", SEQ, TIE, chunk_rows=SKEW_CHUNK_ROWS)
+
+
+def cdc_apply_late_arrival(spark: SparkSession, sf: str) -> DataFrame:
+    """Three deliveries into both kinds of target: later events first, then earlier events and
+    base rows of the same customers, then customers never seen, all of whose rows are older
+    than rows applied before. A fourth run has nothing to apply."""
+    root = run_dir(spark, "late")
+    feed = silver(spark, sf, "customers")
+    new_key = F.col("customer_id").cast("long") % 3 == 0
+    early = F.col(SEQ) < F.lit(LATE_SPLIT).cast("timestamp_ntz")
+    feed = feed.withColumn("delivery", F.when(new_key, 3).when(early, 2).otherwise(1))
+    tie = (*TIE, "delivery")
+    for d in (1, 2, 3, 4):
+        feed.filter(F.col("delivery") == d).write.mode("append").parquet(f"{root}/log")
+        log = spark.read.schema(feed.schema).parquet(f"{root}/log")
+        done = [
+            apply_scd1(spark, log, f"{root}/scd1", ["customer_id"], SEQ, tie, batch="delivery"),
+            apply_scd2(spark, log, f"{root}/scd2", ["customer_id"], SEQ, tie, batch="delivery"),
+        ]
+        if any(x["applied"] != (d < 4) for x in done):
+            raise RuntimeError(f"delivery {d}: {done}")
+    latest = cdc.visible_scd1(read_version(spark, latest_version(spark, f"{root}/scd1")))
+    history = read_version(spark, latest_version(spark, f"{root}/scd2"))
+    none = F.lit(None).cast("timestamp_ntz")
+    latest = latest.withColumns({"kind": F.lit("scd1"), cdc.START_AT: none, cdc.END_AT: none})
+    return latest.unionByName(history.withColumn("kind", F.lit("scd2")))
+
+
+def pipeline_scd2_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """Customer files in four deliveries (first, second, third and all later versions of each
+    customer), one refresh each: the versions of ``dim_customers`` with the deliveries that
+    opened and closed them. Of several versions in one delivery the last one counts."""
+    cfg = _pipeline_cfg(spark, "scd2inc")
+    chain = ["bronze_customers", "silver_customers", "dim_customers"]
+    for ranks in ((1, 1), (2, 2), (3, 3), (4, None)):
+        write_raw(spark, sf, cfg.raw, "customers", ranks=ranks)
+        pipeline.refresh(spark, cfg, only=chain)
+    history = pipeline.read_dataset(spark, cfg, "dim_customers")
+    stamps = pipeline.read_dataset(spark, cfg, "silver_customers").select("_ingested_at").distinct()  # four rows
+    number = stamps.select(F.col("_ingested_at").alias("stamp"), F.row_number().over(Window.orderBy("_ingested_at")).alias("no"))
+    opened, closed = number.select(F.col("stamp").alias("o"), F.col("no").alias("opened")), number.select(F.col("stamp").alias("c"), F.col("no").alias("closed"))
+    out = history.join(opened, F.col(cdc.START_AT) == F.col("o")).join(closed, F.col(cdc.END_AT) == F.col("c"), "left")
+    return out.drop(cdc.START_AT, cdc.END_AT, "o", "c")
+
+
 def scd_tie_break(spark: SparkSession, sf: str) -> DataFrame:
     return cdc.dedup_ties(silver(spark, sf, "line_items"), "line_item_id", SEQ, TIE)
 
@@ -90,26 +148,23 @@ def scd_tie_break(spark: SparkSession, sf: str) -> DataFrame:
 # ----------------------------------------------------------------------------------------
 # file-based flows
 # ----------------------------------------------------------------------------------------
-def write_raw(spark: SparkSession, sf: str, raw_root: str, entity: str, first_batch_only: bool | None = None) -> None:
-    """Render an entity as JSON files ``raw_root/entity/batch=NNNNN/``.
-
-    ``first_batch_only`` True writes only rank 1, False only ranks above 1, None all.
+def write_raw(
+    spark: SparkSession, sf: str, raw_root: str, entity: str, first_batch_only: bool | None = None,
+    ranks: tuple[int, int | None] | None = None,
+) -> None:
+    """Render an entity as JSON files ``raw_root/entity/batch=NNN/``, one folder per rank.
+
+    ``first_batch_only`` True writes only rank 1, False only ranks above 1, None all;
+    ``ranks`` (from, to or None) writes those ranks.
     """
-    lines = tt.json_lines(spark, sf, entity)
-    if first_batch_only is True:
-        lines = lines.filter(F.col("batch") == "00001")
-    elif first_batch_only is False:
-        lines = lines.filter(F.col("batch") > "00001")
-    # a few files per delivery folder: rows of one delivery are spread over RAW_FILES_PER_BATCH
-    # tasks by a hash of the line (a big delivery is not one task, a small one not 1 file per task)
-    salt = F.pmod(F.xxhash64("value"), F.lit(RAW_FILES_PER_BATCH))
-    (
-        lines.repartition("batch", salt)
-        .sortWithinPartitions("batch")
-        .write.mode("append")
-        .partitionBy("batch")
-        .text(f"{raw_root}/{entity}")
-    )
+    if first_batch_only is not None:
+        ranks = (1, 1) if first_batch_only else (2, None)
+    lo, hi = ranks or (1, None)
+    lines = tt.json_lines(spark, sf, entity).filter(F.col("batch") >= tt.batch_name(lo))
+    if hi is not None:
+        lines = lines.filter(F.col("batch") <= tt.batch_name(hi))
+    # deliveries together, large ones split by size: tasks and files grow with the input
+    lines.hint("rebalance", "batch").write.mode("append").partitionBy("batch").text(f"{raw_root}/{entity}")
 
 
 def _ingest(spark: SparkSession, sf: str, entity: str) -> DataFrame:
@@ -122,7 +177,17 @@ def _ingest(spark: SparkSession, sf: str, entity: str) -> DataFrame:
             write_raw(spark, sf, raw, entity, first_batch_only=part)
         run_append_stream(read_json_stream(spark, f"{raw}/{entity}", SCHEMA_HINTS[entity]), out, ckpt)
     bronze = spark.read.schema(pipeline.bronze_schema(entity)).parquet(out)
-    return bronze.select(*tt.TYPED[entity], RESCUED)
+    # lineage in a form that does not depend on the clock or the folder: which delivery stamped
+    # the row, whether its file is one of the first delivery, and whether the file has a time
+    stamps = bronze.select("_ingested_at").distinct()  # one row per delivery
+    stamps = stamps.select(
+        F.col("_ingested_at").alias("stamp"), F.row_number().over(Window.orderBy("_ingested_at")).alias("delivery"),
+    )
+    folder = F.regexp_extract("_source_file", "batch=([0-9]+)/", 1)
+    return bronze.join(stamps, F.col("_ingested_at") == F.col("stamp")).select(
+        *tt.TYPED[entity], RESCUED, "delivery", (folder == tt.batch_name(1)).alias("first_file"),
+        F.col("_source_file_modified_at").isNotNull().alias("has_file_time"),
+    )
 
 
 def ingest_rescued_data(spark: SparkSession, sf: str) -> DataFrame:
@@ -224,6 +289,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "scd2_current_rows": lambda s, d: cdc.current_rows(dim_customers(s, d)),
         "scd2_noop_suppressed": scd2_noop_suppressed,
         "scd2_late_arrival": scd2_late_arrival,
+        "scd2_skewed_key": scd2_skewed_key,
+        "cdc_apply_late_arrival": cdc_apply_late_arrival,
+        "pipeline_scd2_incremental": pipeline_scd2_incremental,
         "scd_tie_break": scd_tie_break,
         "join_orders_current_customers": lambda s, d: marts.join_orders_current_customers(
             fact_orders(s, d), dim_customers(s, d)

@@ -23,10 +23,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import PipelineConfig
-from ..functions.clean import CLEANERS, SILVER_COLUMNS
+from ..functions.clean import SILVER_COLUMNS
 from ..operators.ranking import rank_within_key
 
-HOT_KEY_ROWS = PipelineConfig(root="").hot_key_rows
+CHUNK_ROWS = PipelineConfig(root="").chunk_rows
 
 # --- fixed values of the fixture rules -----------------------------------------------------
 CUSTOMER_BASE_SEQ = "2023-12-31 00:00:00"  # base version of every customer, before all events
@@ -182,10 +182,6 @@ TYPED = {
 KEYS = {"customers": "customer_id", "orders": "order_id", "line_items": "line_item_id"}
 
 
-def silver_feed(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
-    return CLEANERS[entity](FEEDS[entity](spark, sf_dir))
-
-
 # ------------------------------------------------------------------------------------------
 # raw JSON rendering
 # ------------------------------------------------------------------------------------------
@@ -193,6 +189,14 @@ def _append_field(j: Column, name: str, value: Column) -> Column:
     return F.concat(F.expr("substring(__j, 1, length(__j) - 1)"), F.lit(f',"{name}":"'), value, F.lit('"}'))
 
 
+BATCH_FORMAT = "%012d"
+
+
+def batch_name(rank: int) -> str:
+    """Folder name of an arrival rank: names order as ranks do."""
+    return BATCH_FORMAT % rank
+
+
 def json_lines(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     """``(batch, value)``: one JSON object per line; ``batch`` is a zero-padded arrival rank.
 
@@ -237,8 +241,8 @@ def json_lines(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     silver = df.select(*SILVER_COLUMNS[entity](), "_ingested_at", "__j")
     payload = [c for c in silver.columns if c not in (key, "_ingested_at", "__j")]
     keyed = rank_within_key(
-        silver.filter(F.col(key).isNotNull()), [key], ["_ingested_at", *payload], hot_key_rows=HOT_KEY_ROWS
+        silver.filter(F.col(key).isNotNull()), [key], ["_ingested_at", *payload], chunk_rows=CHUNK_ROWS
     )
     keyless = silver.filter(F.col(key).isNull()).withColumn("__rank", F.lit(1))
     ranked = keyed.select("__rank", "__j").unionByName(keyless.select("__rank", "__j"))
-    return ranked.select(F.lpad(F.col("__rank").cast("string"), 5, "0").alias("batch"), F.col("__j").alias("value"))
+    return ranked.select(F.format_string(BATCH_FORMAT, F.col("__rank").cast("long")).alias("batch"), F.col("__j").alias("value"))
