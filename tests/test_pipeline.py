@@ -92,6 +92,31 @@ def test_incremental_line_items_then_selective_refresh(spark):
     assert _rows(df) == _rows(queries.mv_product_sales_metrics(spark, SF0001))
 
 
+def test_targets_are_known(spark):
+    assert PipelineConfig.for_target("r", "prod").gold_schema == "gold"
+    assert PipelineConfig.for_target("r").gold_schema == "gold_dev"
+    for name in ("staging", "Dev", ""):
+        with pytest.raises(ValueError):
+            PipelineConfig.for_target("r", name)
+
+
+def test_refresh_keeps_the_catalog_entry(spark, scratch):
+    """The entry is altered, never dropped: its table id in the catalog stays."""
+    from layerkit.sinks.tables import ensure_schema, register_table, table_metadata
+
+    ensure_schema(spark, "keep_entry", f"{scratch}/db")
+    d = spark.range(5)
+    for i in (1, 2):
+        d.withColumn("id", d.id + i).write.parquet(f"{scratch}/v{i}")
+    register_table(spark, "spark_catalog.keep_entry.t", f"{scratch}/v1", d.schema, "it's one", {"a": "1"})
+    made = spark.sql("DESCRIBE TABLE EXTENDED keep_entry.t").filter("col_name = 'Created Time'").first()
+    register_table(spark, "spark_catalog.keep_entry.t", f"{scratch}/v2", d.schema, "two", {"a": "2"})
+    assert spark.sql("DESCRIBE TABLE EXTENDED keep_entry.t").filter("col_name = 'Created Time'").first() == made
+    assert spark.table("keep_entry.t").agg({"id": "max"}).first()[0] == 6
+    meta = table_metadata(spark, "spark_catalog.keep_entry.t")
+    assert meta["comment"] == "two" and meta["properties"]["a"] == "2"
+
+
 def test_failed_refresh_is_redone_idempotently(spark, scratch):
     from layerkit.sinks.tables import publish_version
 
@@ -185,4 +210,4 @@ def test_failed_bucketed_publish_is_redone(spark, scratch):
     d.write.parquet(f"{t}/version_00002")  # half-written, never committed
     v = publish_version(spark, d.filter("k < 5"), t, {"x": 2}, bucket_by=(["k"], 2))
     assert v.number == 2 and spark.read.parquet(v.path).count() == 5
-    assert latest_version(spark, t).ledger == {"x": 2}
+    assert latest_version(spark, t).ledger == {"x": 2, "bucketed": [["k"], 2]}
