@@ -29,11 +29,11 @@ _JOINED = 64  # runs given to the tokenizer in one string
 class TextEncoder:
     """Ids of texts under one tokenizer file, without special tokens.
 
-    ``keep``: how many parts, and how many runs, are remembered; beyond it the memory starts
-    anew, so it stays bounded on any vocabulary.
+    ``keep``: after so many parts (and so many runs) the memory turns over: the older half is
+    forgotten but for what is met again. So it stays bounded on any vocabulary.
     """
 
-    def __init__(self, path: str, keep: int = 400_000):
+    def __init__(self, path: str, keep: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals out the cores
         from tokenizers import Tokenizer
 
@@ -48,6 +48,8 @@ class TextEncoder:
             self.first_of_run[i] = token.startswith("Ġ") if self.by_spaces else token.endswith("</w>")
         self.parts: dict[str, bytes] = {}
         self.runs: dict[str, bytes] = {}
+        self.older_parts: dict[str, bytes] = {}
+        self.older_runs: dict[str, bytes] = {}
 
     # -- whole texts ---------------------------------------------------------------------
     def encode(self, texts: list[str | None]) -> list[bytes]:
@@ -72,13 +74,13 @@ class TextEncoder:
     # -- parts ---------------------------------------------------------------------------
     def _learn(self, parts: set[str]) -> None:
         """Remember the ids of ``parts``."""
-        if len(self.parts) > self.keep:
-            self.parts = {}
-        new = parts - self.parts.keys()
+        if len(self.parts) > self.keep:  # between two calls of encode, so nothing in use is lost
+            self.older_parts, self.parts = self.parts, {}
+        if len(self.runs) > self.keep:
+            self.older_runs, self.runs = self.runs, {}
+        new = self._recall(parts, self.parts, self.older_parts)
         if not new:
             return
-        if len(self.runs) > self.keep:
-            self.runs = {}
         plain, odd = [], []
         for p in new:
             body = p[1:] if p[:1] == " " and self.by_spaces else p
@@ -98,6 +100,16 @@ class TextEncoder:
             for p, e in zip(odd, self.tok.encode_batch_fast(texts, add_special_tokens=False)):
                 self.parts[p] = np.asarray(e.ids, "<u4").tobytes()
 
+    @staticmethod
+    def _recall(wanted: set[str], now: dict[str, bytes], older: dict[str, bytes]) -> set[str]:
+        """Take what the older half knows into ``now``; returns what neither knows."""
+        new = wanted - now.keys()
+        met = new & older.keys()
+        if met:
+            now.update(zip(met, map(older.__getitem__, met)))
+            new -= met
+        return new
+
     @staticmethod
     def _odd_line_ends(part: str) -> bool:
         return part[0] == "\n" or part[-1] == "\n" or "\n\n" in part
@@ -116,7 +128,7 @@ class TextEncoder:
         return runs
 
     def _learn_runs(self, runs: set[str]) -> None:
-        new = sorted(runs - self.runs.keys())
+        new = sorted(self._recall(runs, self.runs, self.older_runs))
         if self.by_spaces:
             spaced = [r for r in new if r[0] == " "]
             bare = [r for r in new if r[0] != " "]
