@@ -19,7 +19,7 @@ from layerkit.llm.common import stored  # noqa: E402
 def sf_dir(spark, make_docs):
     rows = [(i, t, f"s{i % 3}", "en") for i, t, _ in quality.corpus()]
     rows += [(5000 + i, rows[i][1], "s1", "en") for i in range(30)]  # exact copies
-    passage = "\n".join(f"Line {j} of a passage that is repeated in several documents of this corpus." for j in range(12))
+    passage = "\n".join(" ".join(f"passage{13 * j + w}" for w in range(9)) + "." for j in range(12))
     rows += [(6000 + i, rows[40 + i][1] + "\n" + passage + "\n" + rows[80 + i][1], None, None) for i in range(10)]
     rows += [(7000, None, "s0", "en"), (7001, "", "s0", "en"), (None, rows[7][1], "s2", "en"), (5, rows[5][1], "s2", "en")]
     from layerkit.session import run_dir
