@@ -146,7 +146,8 @@ def top_k(
             meets = meets | ((F.col("p.seg") == j) & ~earlier)
             earlier = earlier | (d <= radius)
         distance = sum((F.bit_count(F.col(q).bitwiseXOR(F.col(c))) for q, c in zip(q_names, names)), F.lit(0))
-        found = _probes(open_, segments, radius, q_names).alias("p").join(
+        # probes repeat their query's words, so they compress to little and would pass for broadcastable
+        found = _probes(open_, segments, radius, q_names).alias("p").hint("merge").join(
             listed.alias("l"), (F.col("p.seg") == F.col("l.seg")) & (F.col("p.value") == F.col("l.value")) & (distance <= bound) & meets,
         ).select(*q_names, *names, distance.cast("int").alias("distance"), "first_id", "n")
         nearest = Window.partitionBy(*q_names).orderBy("distance", "first_id")
