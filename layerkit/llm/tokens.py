@@ -21,11 +21,18 @@ import numpy as np
 # letters of ASCII and Latin-1, digits, punctuation without the apostrophe (contractions), line ends
 _RUN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+|[0-9]+|[!-&(-/:-@\[-`{-~]+|\n")
 _PLAIN = re.compile(rf"(?:{_RUN.pattern})+\Z")
-_ODD_SPACE = re.compile(r"\s | \s|\A | \Z")
+_OTHER_SPACE = [chr(i) for i in range(0x3001) if chr(i).isspace() and chr(i) != " "]
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _JOINED = 64  # runs given to the tokenizer in one string
 
 
+def _odd_space(text: str) -> bool:
+    """Whether a space of the text is at its end or beside another white space."""
+    if text[0] == " " or text[-1] == " " or "  " in text:
+        return True
+    return any(w in text and (w + " " in text or " " + w in text) for w in _OTHER_SPACE)
+
+
 class TextEncoder:
     """Ids of texts under one tokenizer file, without special tokens.
 
@@ -66,7 +73,7 @@ class TextEncoder:
     def _cut(self, text: str) -> list[str]:
         if not self.by_spaces:
             return text.replace("\n", " ").split(" ")
-        parts = _CUT.split(text) if _ODD_SPACE.search(text) else text.split(" ")
+        parts = _CUT.split(text) if _odd_space(text) else text.split(" ")
         # the first part has no space before it: its key starts with one character no other key starts with
         parts[0] = " " + parts[0]
         return parts
@@ -83,6 +90,9 @@ class TextEncoder:
             return
         plain, odd = [], []
         for p in new:
+            if p.isascii() and p.isalpha():  # a single run of letters
+                plain.append((p, (" " + p,) if self.by_spaces else (p.lower(),)))
+                continue
             body = p[1:] if p[:1] == " " and self.by_spaces else p
             if not body:
                 self.parts[p] = b""
