@@ -20,11 +20,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name
+from .common import free_name, words_of
 
 WINDOW = 2  # lines the rolling hash covers
 DIVISOR = 3  # one line in so many ends a chunk
 BASE = 1_000_003
+LONG_LINE = 160  # characters; longer lines are cut into sentences (passages only)
 
 
 def _line_hash(line: Column) -> Column:
@@ -109,6 +110,68 @@ def remove_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: st
     return d.select(*columns, F.col("info").alias(out))
 
 
+def _units(text: Column) -> Column:
+    """Lines of a text as arrays of units: long lines are cut behind sentence ends.
+
+    The units of a line put together give the line, and depend on the line alone."""
+    def cut(line: Column) -> Column:
+        return F.when(F.length(line) > LONG_LINE, F.split(line, r"(?<=[.!?]\s)(?=\S)")).otherwise(F.array(line))
+
+    return F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), cut)
+
+
+def _place(line: Column, unit: Column) -> Column:
+    return F.shiftleft(line.cast("long"), 32) + unit
+
+
+def remove_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without any run of two or more units (lines, sentences of long lines) that occurs earlier.
+
+    Where ``remove_repeated_chunks`` needs two boundaries inside a passage, here every two worded
+    units in a row are compared (by SHA-256, without white space at their ends), so a repeated run goes from its first unit to its
+    last, wherever it stands; what lies between two such units has no word and goes with them. Order,
+    null and empty texts, equal rows and other columns are as in ``remove_repeated_chunks``. Every
+    unit taken away stays at an earlier place. A single unit is never a passage. The struct
+    column ``dedup`` has n_units, removed_units and removed_words.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    base = docs.select(row, F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("t"))
+    base = base.withColumn("k", F.xxhash64("id", "t"))
+
+    placed = F.flatten(F.transform(_units(F.col("t")), lambda units, i: F.transform(
+        units, lambda u, j: F.struct(_place(i, j).alias("n"), F.rtrim(u, F.lit(" \t\u000b\f\r")).alias("u")))))
+    worded = base.select("id", "k", F.filter(placed, lambda x: F.length(x["u"]) > 0).alias("w"))
+    n = F.greatest(F.size("w") - 1, F.lit(0))
+    pairs = F.zip_with(F.slice("w", 1, n), F.slice("w", 2, n), lambda a, b: F.struct(
+        a["n"].alias("n"), b["n"].alias("m"), F.unhex(F.sha2(F.concat(a["u"], F.lit("\n"), b["u"]), 256)).alias("h")))
+    spread = worded.select("id", "k", F.explode(pairs).alias("p")).select("id", "k", "p.*")
+    # equal (id, k) rows are one document
+    first = spread.groupBy("h").agg(F.min(F.struct("id", "k", "n")).alias("first"), F.count("*").alias("often")).filter("often > 1")
+    removed = (
+        spread.join(first, "h").filter(F.struct("id", "k", "n") != F.col("first"))
+        .groupBy("id", "k").agg(F.collect_set(F.struct("n", "m")).alias("gone"))
+    )
+    d = base.alias("d").join(
+        removed.alias("r"), F.expr("d.k = r.k and d.id <=> r.id"), "left",
+    ).select("d.row", "d.t", "r.gone")
+
+    def is_gone(place: Column) -> Column:
+        return F.exists("gone", lambda g: (g["n"] <= place) & (place <= g["m"]))
+
+    d = d.withColumn("l", _units(F.col("t")))
+    d = d.withColumn("left", F.when(F.col("gone").isNotNull(), F.transform(
+        "l", lambda units, i: F.filter(units, lambda u, j: ~is_gone(_place(i, j))))).otherwise(F.col("l")))
+    lines = F.transform(F.filter("left", lambda units: F.size(units) > 0), lambda units: F.array_join(units, ""))
+    text = F.when(F.col("gone").isNull() | F.col("t").isNull(), F.col("t")).otherwise(F.array_join(lines, "\n"))
+    d = d.select("row", text.alias("left"), F.size(words_of(F.col("t"))).alias("words"), F.size(F.flatten("l")).alias("units"), F.size(F.flatten("left")).alias("kept"))
+    info = F.struct(
+        F.col("units").cast("long").alias("n_units"), (F.col("units") - F.col("kept")).cast("long").alias("removed_units"),
+        (F.col("words") - F.size(words_of(F.col("left")))).cast("long").alias("removed_words"),
+    )
+    columns = [F.col("left").alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns]
+    return d.select(*columns, info.alias(free_name(docs, "dedup")))
+
+
 def oracle_sql(documents: str = "documents") -> str:
     """The same in DuckDB SQL: id, text left and the counts of each document (distinct ids)."""
     return f"""

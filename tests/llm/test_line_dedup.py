@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 
 from layerkit.llm import line_dedup as L
 
@@ -70,3 +71,55 @@ def test_rows_of_one_document_are_alike_and_empty_table(make_docs):
     twice = make_docs([(1, "a b\nc d\ne f\ng h\ni j"), (1, "a b\nc d\ne f\ng h\ni j")])
     assert len({r.text for r in L.remove_repeated_chunks(twice).collect()}) == 1
     assert L.remove_repeated_chunks(make_docs([])).count() == 0
+
+
+def units_of(text):
+    """(unit, ends its line) of a text."""
+    for line in (text or "").split("\n"):
+        parts = re.split(r"(?<=[.!?]\s)(?=\S)", line) if len(line) > L.LONG_LINE else [line]
+        yield from ((u, j == len(parts) - 1) for j, u in enumerate(parts))
+
+
+def brute_passages(rows):
+    """Units left, by id (distinct ids)."""
+    seen, out = set(), {}
+    for i, t in sorted(rows):
+        units = [u for u, _ in units_of(t)]
+        worded = [j for j, u in enumerate(units) if u.strip(" \t\x0b\x0c\r")]
+        gone = set()
+        for a, b in zip(worded, worded[1:]):
+            pair = tuple(units[j].rstrip(" \t\x0b\x0c\r") for j in (a, b))
+            if pair in seen:
+                gone |= set(range(a, b + 1))
+            seen.add(pair)
+        out[i] = [u for j, u in enumerate(units) if j not in gone]
+    return out
+
+
+def test_passages_against_brute_force(make_docs):
+    r = random.Random(5)
+    lines = [f"line {i} " + "w" * (i % 5) for i in range(60)] + ["", " ", "\t"]
+    lines += [" ".join(f"Sentence {j} of {i} has many words in it." for j in range(i % 7)) for i in range(30)]
+    passages = [[r.choice(lines) for _ in range(r.randint(2, 9))] for _ in range(12)]
+    rows = []
+    for i in range(300):
+        body = [r.choice(lines) + str(r.random()) for _ in range(r.randint(0, 6))]
+        for _ in range(r.randint(0, 3)):
+            at = r.randint(0, len(body))
+            body[at:at] = r.choice(passages)
+        rows.append((i, "\n".join(body)))
+    want = brute_passages(rows)
+    for x in L.remove_repeated_passages(make_docs(rows, clashing=True)).collect():
+        assert x.text.replace("\n", "") == "".join(want[x.doc_id])
+
+
+def test_passages_of_a_long_line_and_odd_rows(make_docs, odd):
+    shared = " ".join(f"Shared sentence {i} stands in one long line of many words." for i in range(6))
+    docs = make_docs([(1, f"Mine it is. {shared}"), (2, f"Yours it is. {shared} And its end.\nnext")])
+    left = {x.doc_id: x.text for x in L.remove_repeated_passages(docs).collect()}
+    assert left[1] == f"Mine it is. {shared}"
+    assert left[2] == "Yours it is. And its end.\nnext"
+    rows = L.remove_repeated_passages(make_docs(odd, clashing=True)).collect()
+    assert len(rows) == len(odd)
+    text = {r.doc_id: r.text for r in rows}
+    assert text[1] is None and text[2] == "" and text[3] == " \t\n " and text[6] == odd[7][1] and text[7] == ""
