@@ -2,6 +2,8 @@ import hashlib
 import random
 import re
 
+import pytest
+
 from layerkit.llm import line_dedup as L
 
 
@@ -96,6 +98,15 @@ def brute_passages(rows):
     return out
 
 
+@pytest.mark.parametrize("n", [2, 3, 5, 8, 12, 30])
+def test_short_passages_go_as_a_whole(make_docs, n):
+    passage = [f"sentence number {i} of a passage that many documents share" for i in range(n)]
+    a, b = "\n".join(["own start"] + passage), "\n".join(["another", "longer", "start"] + passage + ["own end"])
+    left = {x.doc_id: x for x in L.remove_repeated_passages(make_docs([(1, a), (2, b)])).collect()}
+    assert left[1].text == a and left[2].text == "another\nlonger\nstart\nown end"
+    assert left[2].dedup.removed_units == n and left[2].dedup.removed_words == 10 * n
+
+
 def test_passages_against_brute_force(make_docs):
     r = random.Random(5)
     lines = [f"line {i} " + "w" * (i % 5) for i in range(60)] + ["", " ", "\t"]
