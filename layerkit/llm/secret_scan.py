@@ -1,14 +1,17 @@
 """Secret scans: candidates by their characters, false positives removed by a random forest.
 
-A candidate is a run of at least ``SHORTEST`` ASCII letters, digits and ``+/_-``. A forest
-then tells secrets from long words, numbers and addresses by five kinds of features: length
+A candidate is a run of at least ``SHORTEST`` ASCII letters, digits and ``+/_-``, or, of any
+length and make-up, the value that a credential word is given (up to its quote or white
+space), a dotted JSON web token, or the password in a URL. A forest then tells secrets from long words, numbers and addresses by five kinds of features: length
 and make-up of the run; how likely its character transitions are in the corpus; how much of it
 dictionary words cover; the path (here the document's source) by hash; and the neighbouring
 words (credential words, assignment and quotes before it, dictionary coverage on both sides).
 
 It is trained from labelled findings. ``labelled`` makes them where no reviewed findings are
-at hand: a value assigned to a credential word is confirmed, a run amid ordinary words of the
-dictionary is a false positive, any other is not labelled. Training takes at most ``SAMPLE``
+at hand, from evidence in the value that is no feature: a known key format is confirmed, a
+placeholder or an identifier is a false positive, also where a credential word is given it. Of
+the rest, a value of letters and digits given to a credential word is confirmed, a run without
+digits amid ordinary words of the dictionary is a false positive, any other is not labelled. Training takes at most ``SAMPLE``
 findings of each label (the lowest by hash); transitions and dictionary are counted over all
 texts; every candidate is scored.
 
@@ -39,6 +42,25 @@ CANDIDATE = re.compile(rf"[A-Za-z0-9+/_-]{{{SHORTEST},}}={{0,2}}")
 WORDS = re.compile(r"(?<![a-z])[a-z]{3,6}(?![a-z])")
 # fixed values: words that name a credential
 CREDENTIAL = re.compile(r"(?:token|secret|passw(?:or)?d|passphrase|pwd|api[_-]?key|access[_-]?key|private[_-]?key|credential|bearer|auth)\W*\Z", re.I)
+# what a credential word is given; a JSON web token; user:password@ of a URL
+VALUE = re.compile(
+    r"(?:token|secret|passw(?:or)?d|passphrase|pwd|api[_-]?key|access[_-]?key|private[_-]?key|credential|bearer|auth)(?![A-Za-z])[\w-]*"
+    r"[\"']?[ \t]*(?::=|=>|==?|:)[ \t]*(?:\"([^\"\n]+)\"|'([^'\n]+)'|([^\s\"']+))", re.I,
+)
+WEB_TOKEN = re.compile(r"(?<![\w-])eyJ[\w-]+\.[\w-]+\.[\w-]*", re.A)
+IN_URL = re.compile(r"://[^\s/@:\"']{0,256}:([^\s/@\"']+)@")
+# evidence for labels: formats of issued keys; placeholders; names
+KEY_FORMAT = re.compile(
+    r"(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|github_pat_\w{22,}|glpat-[\w-]{20,}|sk-[\w-]{20,}|[sr]k_live_\w{16,}"
+    r"|xox[abprs]-[\w-]{10,}|AIza[\w-]{35}|npm_[A-Za-z0-9]{36}|eyJ[\w-]+\.[\w-]+\.[\w-]*"
+    r"|(?=[0-9a-f]*[a-f])(?=[0-9a-f]*[0-9])(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64})", re.A,
+)
+DIGEST_BEFORE = re.compile(r"(?:commit|sha\d*|md5|checksum|digest|hash|revision)\W*\Z", re.I)
+PLACEHOLDER = re.compile(
+    r"(?i:.*(?:example|change_?me|replace|your[_-]|placeholder|dummy|redacted|insert|todo|<|\$\{|\{\{|%s|environ|getenv|process\.env).*"
+    r"|(.)\1*|[x*.-]{3,}.*|(?:0?123456789?\d*|password|none|null|true|false)\W*)", re.S,
+)
+IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z_.-]*(?:\([^()]*\))?[,;)]*")
 ASSIGNED = re.compile(r"[=:]\s*[\"']?\Z")
 FEATURES = (
     "length", "digits", "uppercase", "classes", "switches", "entropy", "transitions", "dictionary",
@@ -102,6 +124,7 @@ def features(text: str, start: int, end: int, log_chance: np.ndarray, dictionary
     """The numeric features of one candidate, without the path."""
     run = text[start:end]
     raw = np.frombuffer(run.lower().encode(), np.uint8)
+    ascii_only = (raw[:-1] < 128) & (raw[1:] < 128)
     counts = np.bincount(raw)[np.unique(raw)] / len(raw)
     kinds = np.select([(raw >= 48) & (raw < 58), raw >= 97], [0, 1], 2)
     before, after = text[max(0, start - 40):start], text[end:end + 40]
@@ -111,9 +134,9 @@ def features(text: str, start: int, end: int, log_chance: np.ndarray, dictionary
         sum(c.isdigit() for c in run) / len(run),
         sum(c.isupper() for c in run) / len(run),
         float(len(set(kinds.tolist()))),
-        float((kinds[1:] != kinds[:-1]).mean()),
+        float((kinds[1:] != kinds[:-1]).mean()) if len(raw) > 1 else 0.0,
         float(-(counts * np.log2(counts)).sum()),
-        float(log_chance[raw[:-1], raw[1:]].mean()),
+        float(log_chance[raw[:-1][ascii_only], raw[1:][ascii_only]].mean()) if ascii_only.any() else 0.0,
         covered(run, dictionary),
         float(CREDENTIAL.search(before) is not None),
         float(ASSIGNED.search(before) is not None),
@@ -123,11 +146,28 @@ def features(text: str, start: int, end: int, log_chance: np.ndarray, dictionary
     ]
 
 
+def spans(text: str) -> list[tuple[int, int, bool]]:
+    """(start, end, given to a credential word) of the candidates of a text, each span once."""
+    found = {m.span(): False for m in CANDIDATE.finditer(text)}
+    found |= {m.span(): False for m in WEB_TOKEN.finditer(text)}
+    found |= {m.span(1): False for m in IN_URL.finditer(text)}
+    found |= {m.span(m.lastindex): True for m in VALUE.finditer(text)}
+    return [(a, b, named) for (a, b), named in sorted(found.items())]
+
+
+def evidence(text: str, start: int, end: int) -> float | None:
+    """1 for the format of an issued key, 0 for a placeholder, a name or a file's digest, else null."""
+    value = text[start:end]
+    if KEY_FORMAT.fullmatch(value):
+        return 0.0 if DIGEST_BEFORE.search(text[max(0, start - 40):start]) else 1.0
+    return 0.0 if PLACEHOLDER.fullmatch(value) or IDENTIFIER.fullmatch(value) else None
+
+
 def candidates(
     docs: DataFrame, log_chance: np.ndarray, dictionary: frozenset[str], id_col: str = "doc_id",
     text_col: str = "text", path_col: str = "source",
 ) -> DataFrame:
-    """(id_col, start, length, crc32, f): every candidate of every whole text with its features.
+    """(id_col, start, length, crc32, f, evidence): every candidate of every whole text with its features.
 
     ``start`` and ``length`` are code points. Null and empty texts have no candidate."""
     import zlib
@@ -135,25 +175,29 @@ def candidates(
     schema = T.StructType([
         T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("start", T.LongType()),
         T.StructField("length", T.LongType()), T.StructField("crc32", T.LongType()),
-        T.StructField("f", T.ArrayType(T.DoubleType())),
+        T.StructField("f", T.ArrayType(T.DoubleType())), T.StructField("evidence", T.DoubleType()),
     ])
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, start, length, crc, values = [], [], [], [], []
+            row, start, length, crc, values, known = [], [], [], [], [], []
             for i in range(batch.num_rows):
                 text = batch.column(1)[i].as_py() or ""
                 path = zlib.crc32((batch.column(2)[i].as_py() or "").encode()) % PATHS
                 one_hot = [float(p == path) for p in range(PATHS)]
-                for m in CANDIDATE.finditer(text):
+                for a, b, named in spans(text):
                     row.append(i)
-                    start.append(m.start())
-                    length.append(m.end() - m.start())
-                    crc.append(zlib.crc32(m.group().encode()))
-                    values.append(features(text, m.start(), m.end(), log_chance, dictionary) + one_hot)
+                    start.append(a)
+                    length.append(b - a)
+                    crc.append(zlib.crc32(text[a:b].encode()))
+                    own = features(text, a, b, log_chance, dictionary)
+                    if named:
+                        own[FEATURES.index("credential_before")] = own[FEATURES.index("assigned")] = 1.0
+                    values.append(own + one_hot)
+                    known.append(evidence(text, a, b))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(row, pa.int32())), pa.array(start, pa.int64()), pa.array(length, pa.int64()),
-                 pa.array(crc, pa.int64()), pa.array(values, pa.list_(pa.float64()))], names=schema.names,
+                 pa.array(crc, pa.int64()), pa.array(values, pa.list_(pa.float64())), pa.array(known, pa.float64())], names=schema.names,
             )
 
     read = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`").alias("t"), F.col(f"`{path_col}`").cast("string").alias("p"))
@@ -163,11 +207,12 @@ def candidates(
 def labelled(found: DataFrame) -> DataFrame:
     """Adds ``label``: 1 confirmed, 0 false positive, null unlabelled (see the module)."""
     f = {name: F.element_at("f", i + 1) for i, name in enumerate(FEATURES)}
-    confirmed = (f["credential_before"] == 1) & (f["assigned"] == 1)
-    prose = (f["assigned"] == 0) & (f["quoted"] == 0) & (f["credential_before"] == 0) & (
+    mixed = (f["digits"] > 0) & (f["classes"] > 1)
+    confirmed = (f["credential_before"] == 1) & (f["assigned"] == 1) & mixed
+    prose = ~mixed & (f["assigned"] == 0) & (f["quoted"] == 0) & (f["credential_before"] == 0) & (
         (f["before_dictionary"] > 0.5) | (f["after_dictionary"] > 0.5) | (f["dictionary"] > 0.3)
     )
-    return found.withColumn("label", F.when(confirmed, 1.0).when(prose, 0.0))
+    return found.withColumn("label", F.coalesce("evidence", F.when(confirmed, 1.0).when(prose, 0.0)))
 
 
 def train(findings: DataFrame, sample: int = SAMPLE):
@@ -207,4 +252,4 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_c
     """
     log_chance, dictionary = corpus_statistics(docs, text_col)
     found = stored(candidates(docs, log_chance, dictionary, id_col, text_col, path_col), "secret-candidates")
-    return scored(found, train(labelled(found))).drop("f")
+    return scored(found, train(labelled(found))).drop("f", "evidence")

@@ -47,3 +47,59 @@ def test_one_label_only_removes_nothing(make_docs):
     got = S.scan(make_docs([(1, "the ordinarywordthatislong the the")])).collect()
     assert [x.secret for x in got] == [True]
     assert S.scan(make_docs([])).count() == 0
+
+
+def mixed_corpus(n, seed):
+    """Documents with secrets of several forms, and placeholders and names given to credential words."""
+    r = random.Random(seed)
+    vocab = ["".join(r.choice(["the", "ing", "tion", "er", "and", "on", "st", "re"]) for _ in range(r.randint(1, 3))) for _ in range(300)]
+    draw = lambda chars, k: "".join(r.choice(chars) for _ in range(k))
+    low, up, dig = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    rows, secrets, others = [], {}, {}
+    for i in range(n):
+        words = [r.choice(vocab) for _ in range(60)]
+        hexa = "a1" + draw("0123456789abcdef", 38)
+        short = draw(up, 1) + draw(low, 3) + draw(dig, 2) + draw(low, 3) + r.choice("&!#") + draw(dig, 1)
+        web = f"eyJ{draw(low + dig, 18)}.{draw(up + low + dig, 40)}.{draw(up + low + dig, 30)}"
+        secrets[i], text = [
+            (hexa, f'token = "{hexa}"'), (hexa, f"'{hexa}'"), (hexa, hexa), (short, f"password = '{short}'"), (web, f"bearer {web}"),
+            (short, f"postgres://user:{short}@host/db"), (short, f"api_key: {short}"),
+        ][i % 7]
+        words[30] = text
+        others[i], words[45] = [
+            ("your_token_goes_here_please", "token = 'your_token_goes_here_please'"), ("settings.access_token_name", "auth = settings.access_token_name"),
+            ("changeme", 'password: "changeme"'),
+        ][i % 3]
+        rows.append((i, " ".join(words), f"src{i % 4}"))
+    return rows, secrets, others
+
+
+def test_every_planted_secret_and_no_placeholder(make_docs):
+    """Short values, dotted tokens, passwords in a URL and bare keys; held out."""
+    train_rows, _, _ = mixed_corpus(420, 1)
+    held, secrets, others = mixed_corpus(210, 2)
+    docs = make_docs(train_rows, clashing=True)
+    stats = S.corpus_statistics(docs)
+    model = S.train(S.labelled(S.candidates(docs, *stats)))
+    text = {i: t for i, t, _ in held}
+    got = {(x.doc_id, text[x.doc_id][x.start:x.start + x.length]): x.secret for x in S.scored(S.candidates(make_docs(held), *stats), model).collect()}
+    missed = [(i, held[i][1].split()[28:34]) for i, s in secrets.items() if not got.get((i, s))]
+    assert not missed, missed[:7]
+    assert not [o for i, o in others.items() if got[(i, o)]]
+
+
+def test_required_secrets_of_the_first_corpus(make_docs):
+    """Every planted secret, also without a credential word."""
+    train_rows, _ = corpus(400, 1)
+    held, truth = corpus(300, 2)
+    stats = S.corpus_statistics(make_docs(train_rows))
+    model = S.train(S.labelled(S.candidates(make_docs(train_rows), *stats)))
+    got = S.scored(S.candidates(make_docs(held), *stats), model).collect()
+    text = {i: t for i, t, _ in held}
+    found = {i: "".join(text[i][x.start:x.start + x.length] for x in sorted(got, key=lambda x: x.start) if x.doc_id == i and x.secret) for i in truth}
+    assert found == truth
+
+
+def test_odd_values():
+    text = "pwd: ß auth=\"日本 x\" author: Bob token_id := 7 https://u:p%40@h/ password:\nnext"
+    assert [text[a:b] for a, b, _ in S.spans(text)] == ["ß", "日本 x", "7", "p%40"]
