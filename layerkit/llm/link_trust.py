@@ -24,6 +24,7 @@ from .common import stored
 
 DAMPING = 0.85
 ROUNDS = 20
+TOLERANCE = 1e-12  # change of a score, relative to it
 EVERY = 4  # rounds between two written tables
 HREF = r"""(?i)<a\s[^>]*?href\s*=\s*["']?([^"'\s>]+)"""
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -82,12 +83,13 @@ def host_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
     return found.groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
-def propagate(links: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+def propagate(links: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int | None = ROUNDS) -> DataFrame:
     """(host, trust, distrust) of every host that either reaches.
 
     ``links``: src, dst, n; ``seeds``: host, trust, distrust (weights). Fixed point of
     score = (1 - damping) * seed + damping * (sum over edges of share * score), followed for
-    ``rounds`` rounds, or until no score changes by 1e-12. Trust shares a host's score among the
+    ``rounds`` rounds (None: as many as it takes), or until no host is new and no score changes by
+    ``TOLERANCE`` of itself: about 170 rounds, and as many as the longest chain has links. Trust shares a host's score among the
     hosts it links to, by number of links; distrust among the hosts that link to it.
     """
     out_n = links.groupBy("src").agg(F.sum("n").alias("total"))
@@ -101,10 +103,9 @@ def propagate(links: DataFrame, seeds: DataFrame, damping: float = DAMPING, roun
     )).alias("s")).select("s.*").filter("seed > 0")
     base = stored(start.select("kind", "host", (F.col("seed") * (1 - damping)).alias("score")), "host-seeds")
     scores, done = base, 0
-    while done < rounds:
+    while rounds is None or done < rounds:
         before = scores
-        for _ in range(min(EVERY, rounds - done)):
-            last = scores
+        for _ in range(EVERY if rounds is None else min(EVERY, rounds - done)):
             passed = scores.alias("s").join(edges.alias("e"), F.expr("s.kind = e.kind and s.host = e.a")).select(
                 "s.kind", F.col("b").alias("host"), (F.col("score") * F.col("share") * damping).alias("score"),
             )
@@ -112,9 +113,9 @@ def propagate(links: DataFrame, seeds: DataFrame, damping: float = DAMPING, roun
             done += 1
         scores = stored(scores, "host-scores")
         change = scores.alias("n").join(before.alias("o"), ["kind", "host"], "left").agg(
-            F.max(F.abs(F.col("n.score") - F.coalesce(F.col("o.score"), F.lit(0.0)))),
+            F.max(F.abs(F.col("n.score") - F.coalesce(F.col("o.score"), F.lit(0.0))) / F.nullif(F.col("n.score"), F.lit(0.0))),
         ).first()[0]
-        if (change or 0.0) < 1e-12:
+        if (change or 0.0) < TOLERANCE:
             break
     side = lambda k: F.coalesce(F.max(F.when(F.col("kind") == k, F.col("score"))), F.lit(0.0))
     return scores.groupBy("host").agg(side("t").alias("trust"), side("d").alias("distrust"))
@@ -137,7 +138,7 @@ def judge(
     seeds = ruled.filter("r is not null and host != ''").groupBy("host").agg(
         F.avg((verdict == "allow").cast("double")).alias("trust"), F.avg((verdict == "block").cast("double")).alias("distrust"),
     )
-    scores = propagate(stored(host_links(pages, url_col, html_col), "host-links"), seeds)
+    scores = propagate(stored(host_links(pages, url_col, html_col), "host-links"), seeds, rounds=None)
     by_method = F.when(F.col("distrust") > threshold * F.col("trust"), "block").otherwise("allow")
     return ruled.join(scores, "host", "left").select(
         F.col("id").alias(id_col), "host", "path", F.col("r.rule").alias("rule"),

@@ -73,3 +73,33 @@ def test_links_and_rules(spark):
 
 def test_empty(spark):
     assert L.judge(pages_of(spark, [])).count() == 0
+
+
+def test_fixed_point_of_a_graph_with_cycles(spark):
+    """Against a linear system; 20 rounds are up to 4 % short of it."""
+    r = random.Random(4)
+    links = {(f"h{r.randint(0, 9)}", f"h{r.randint(0, 9)}"): r.randint(1, 9) for _ in range(40)}
+    links = [(a, b, n) for (a, b), n in links.items() if a != b]
+    seeds = {"h0": (1.0, 0.0), "h1": (0.5, 0.5), "h2": (0.0, 1.0)}
+    got = L.propagate(spark.createDataFrame(links, "src string, dst string, n long"),
+                      spark.createDataFrame([(h, *x) for h, x in seeds.items()], "host string, trust double, distrust double"), rounds=None)
+    m = np.zeros((10, 10))
+    for a, b, k in links:
+        m[int(a[1:]), int(b[1:])] = k
+    want = []
+    for side, w in ((0, m), (1, m.T)):
+        share = np.divide(w, w.sum(1, keepdims=True), out=np.zeros_like(w), where=w.sum(1, keepdims=True) > 0)
+        start = np.array([seeds.get(f"h{i}", (0, 0))[side] for i in range(10)])
+        want.append(np.linalg.solve(np.eye(10) - L.DAMPING * share.T, (1 - L.DAMPING) * start))
+    rows = got.collect()
+    assert len(rows) == 10
+    for x in rows:
+        assert abs(x.trust - want[0][int(x.host[1:])]) < 1e-11 and abs(x.distrust - want[1][int(x.host[1:])]) < 1e-11
+
+
+def test_hosts_far_from_a_seed_are_judged(spark):
+    """A chain of 50 links to a blocked host."""
+    rows = [(i, f"https://far{i}.net/", f'<a href="https://far{i - 1}.net/">x</a>' if i > 1 else '<a href="https://bad.com/de/">x</a>', 1, "", None)
+            for i in range(1, 51)]
+    got = L.judge(pages_of(spark, rows + [(0, "https://bad.com/de/", "", 1, "", None)])).collect()
+    assert {x.verdict for x in got} == {"block"} and all(x.page_id == 0 or x.distrust > 0 for x in got)
