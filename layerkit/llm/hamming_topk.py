@@ -18,6 +18,7 @@ check never leave the join. Each round's results are written below ``spark.check
 from __future__ import annotations
 
 import itertools
+import logging
 import math
 from collections.abc import Iterator
 
@@ -29,6 +30,8 @@ from pyspark.sql import types as T
 
 from .common import ship, stored
 
+log = logging.getLogger(__name__)
+
 
 def _word_names(bits: int, side: str) -> list[str]:
     return [f"{side}{i}" for i in range(-(-bits // 64))]
@@ -105,20 +108,38 @@ def _probes(queries: DataFrame, segments: list[tuple[int, int, int]], radius: in
     return ship(queries.select(*names)).mapInArrow(spread, schema)
 
 
+def _usual_length(vectors: DataFrame, vector_col: str) -> int:
+    """The most frequent length above 0; logs how many rows have another one, or none."""
+    v = F.col(f"`{vector_col}`")
+    broken = F.exists(v, lambda x: x.isNull() | F.isnan(x))
+    length = F.when(v.isNotNull() & ~broken, F.size(v)).otherwise(0)
+    by_length = vectors.groupBy(length.alias("length")).count()
+    totals = by_length.agg(F.max(F.when(F.col("length") > 0, F.struct("count", "length"))).alias("most"), F.sum("count").alias("n")).first()
+    if totals["most"] is None:
+        return 1
+    left_out = totals["n"] - totals["most"]["count"]
+    if left_out:
+        log.warning("%d of %d rows have no vector of %d components and are left out", left_out, totals["n"], totals["most"]["length"])
+    return totals["most"]["length"]
+
+
 def top_k(
     vectors: DataFrame, queries: Column, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding",
+    bits: int | None = None,
 ) -> DataFrame:
     """(query_id, rank, id_col, distance): the ``k`` nearest other rows of every query row.
 
     ``queries`` is a condition over the table's columns that marks the query rows; all rows
     are searched. Rank 1 to k by (Hamming distance, id); a row is not its own neighbour. Exact.
-    Vectors have the table's greatest length; rows with a null, shorter or broken vector are
-    neither searched nor found, nor are rows with a null id. Repeated ids are one row per
+    Vectors have ``bits`` components, or the table's most frequent length (the greater of equally
+    frequent ones); rows with a null or broken vector, or one of another length, are neither
+    searched nor found (their number is logged where the length is taken from the table), nor are
+    rows with a null id. Repeated ids are one row per
     code. With fewer than k others all are returned; an empty table gives an empty result.
     """
     id_type = vectors.schema[id_col].dataType
-    bits = vectors.agg(F.max(F.size(F.col(f"`{vector_col}`")))).first()[0]
-    bits = max(bits or 1, 1)
+    if bits is None:
+        bits = _usual_length(vectors, vector_col)
     names, q_names = _word_names(bits, "c"), _word_names(bits, "q")
     usable = vectors.filter(F.col(f"`{id_col}`").isNotNull())
     codes = stored(binary_codes(usable, bits, id_col, vector_col).distinct(), "codes")

@@ -44,3 +44,19 @@ def test_few_rows_and_empty(spark):
     rows = [(50 * i, [1.0, -1.0, float(i - 1), 2.0], 1, 1, "") for i in range(4)]
     assert run(spark, rows) == brute([r[:2] for r in rows], 10, 50)
     assert run(spark, []) == []
+
+
+def test_one_row_too_long_hides_no_other(spark, caplog):
+    rng = np.random.default_rng(2)
+    rows = [(i, [float(x) for x in rng.normal(size=32)], 1, 1, "") for i in range(120)]
+    odd = [(200, [1.0] * 33, 1, 1, ""), (250, None, 1, 1, "")]
+    with caplog.at_level("WARNING"):
+        got = run(spark, rows + odd)
+    assert got == brute([r[:2] for r in rows], 10, 50) and len(got) == 30
+    assert "2 of 122 rows" in caplog.text
+
+
+def test_length_given_by_the_caller(spark):
+    rows = [(i, [1.0, float(i - 2)] if i < 2 else [1.0], 1, 1, "") for i in range(9)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, id int, n int, rank string")
+    assert [(r.query_id, r.vec_id) for r in H.top_k(df, F.col("vec_id") == 0, bits=2).collect()] == [(0, 1)]
