@@ -18,6 +18,7 @@ once.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -52,11 +53,19 @@ class Cell:
 
 
 def _key(dimension: str) -> Column:
-    """60-bit key: 24 bits of the dimension, then 28 of the group, then 8 of the part."""
+    """60-bit key: 24 bits of the dimension, then 36 of the group and the part (see ``_part_bits``)."""
     scaled = F.floor(F.col(dimension) * F.lit(float((1 << 24) - 1))).cast("long")
     return F.shiftleft(scaled, 36) + F.col("tie")
 
 
+def _part_bits(n_shards: int) -> int:
+    """Bits of the tie that number a group's parts; the others tell groups apart.
+
+    A group of all bytes has ``n_shards * PARTS`` parts. 8 bits up to 16 shards, where a third of
+    the bytes needs no more; at most 24, so that 12 are left for groups."""
+    return min(24, max(8, math.ceil(math.log2(n_shards * PARTS)) if n_shards > 16 else 8))
+
+
 def _place(cell: Cell, leaf) -> Column:
     """An expression over the tree: ``leaf(cell)`` for the cell a row is in."""
     if cell.low is None:
@@ -148,10 +157,10 @@ def shards(
     )
     groups = groups.select("g", "group_bytes", *_scaled(groups))
     part_bytes = max(1.0, total / n_shards / PARTS)
-    parts = F.least(F.ceil(F.col("group_bytes") / F.lit(part_bytes)), F.lit(256)).cast("long")
+    bits = _part_bits(n_shards)
+    parts = F.least(F.ceil(F.col("group_bytes") / F.lit(part_bytes)), F.lit(1 << bits)).cast("long")
     part = F.pmod(F.xxhash64("id", "g", F.lit(7)), parts)
-    # 28 bits of the group, 8 of the part
-    tie = F.shiftleft(F.shiftrightunsigned("g", 36), 8) + part
+    tie = F.shiftleft(F.shiftrightunsigned("g", 28 + bits), bits) + part
     rows = read.select("id", "size", "crc", "g").join(groups, "g").select("id", "size", "crc", tie.alias("tie"), *DIMENSIONS)
     rows = stored(rows, "shard-rows")
     root = Cell(0, n_shards)

@@ -62,3 +62,12 @@ def test_same_shards_on_every_run(make_docs):
 def test_odd_rows_and_empty_table(make_docs, odd):
     check(odd, K.shards(make_docs(odd, clashing=True), 4).collect(), 4)
     assert K.shards(make_docs([]), 16).count() == 0
+
+
+def test_one_group_over_many_shards(make_docs):
+    """256 parts would be four to a shard here."""
+    rows = [(i, "x" * 200, "s", "en") for i in range(20_000)]
+    size = check(rows, K.shards(make_docs(rows), 64).collect(), 64)
+    mean = sum(size.values()) / 64
+    assert len(size) == 64 and all(abs(s - mean) < 0.04 * mean for s in size.values())
+    assert [K._part_bits(n) for n in (1, 16, 17, 768, 4096)] == [8, 8, 11, 16, 18]
