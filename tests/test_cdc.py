@@ -274,3 +274,13 @@ def test_apply_reads_only_new_deliveries(spark, scratch):
     assert new == ["1700000002000000"] and rows.count() == 1000
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [" in plan and "at" in plan.split("PushedFilters: [")[1].split("]")[0]
+
+
+def test_rows_without_a_delivery_are_an_error(spark, scratch):
+    import pytest
+
+    from layerkit.streaming.cdc_apply import apply_scd1
+
+    log = spark.createDataFrame([(1, 1, "a", 1), (2, 2, "b", None)], "k long, seq long, v string, delivery int")
+    with pytest.raises(ValueError, match="delivery is null"):
+        apply_scd1(spark, log, f"{scratch}/null-delivery", ["k"], "seq", batch="delivery")
