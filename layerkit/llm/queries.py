@@ -9,7 +9,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import run_dir
-from . import hamming_topk, kd_shards, line_dedup, link_trust, mixing, packing, quality_votes, secret_scan, simhash, token_files
+from . import (
+    chat_format,
+    hamming_topk,
+    kd_shards,
+    line_dedup,
+    link_trust,
+    mixing,
+    packing,
+    prefix_trie,
+    quality_votes,
+    secret_scan,
+    simhash,
+    token_files,
+    turn_repair,
+)
 from .common import stored, table, words_of
 from .tokens import public_tokenizer
 
@@ -86,6 +100,24 @@ def op10_link_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_trust.judge(table(spark, sf_dir, "pages")).drop("trust", "distrust")
 
 
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and repaired digest of every conversation, damaged first."""
+    return turn_repair.repaired_summary(table(spark, sf_dir, "conversations"))
+
+
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations formatted, written, and read back."""
+    turns = chat_format.with_probe(table(spark, sf_dir, "conversations"))
+    formatted = chat_format.format_turns(turns, chat_format.text_part(F.col("text")))
+    return chat_format.digests(stored(formatted, "formatted"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of the rebuilt conversations."""
+    turns, convs = prefix_trie.regrafted(prefix_trie.numbered(table(spark, sf_dir, "conversations")))
+    return prefix_trie.trie(turns, convs)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "pipeline": corpus_pipeline.run,
@@ -99,6 +131,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_files": op8_token_files,
         "op9_kd_shards": op9_kd_shards,
         "op10_link_trust": op10_link_trust,
+        "op11_turn_repair": op11_turn_repair,
+        "op12_chat_format": op12_chat_format,
+        "op13_prefix_trie": op13_prefix_trie,
     }
 
 
@@ -108,5 +143,7 @@ def oracle_sql() -> dict[str, str]:
         "op3_line_dedup": line_dedup.oracle_sql(),
         "op5_mix": mixing.oracle_sql(),
         "op10_link_trust": link_trust.oracle_sql(),
+        "op12_chat_format": chat_format.oracle_sql(),
+        "op13_prefix_trie": prefix_trie.oracle_sql(),
     }
     return found | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

@@ -20,7 +20,7 @@ def canon(columns, rows):
 @pytest.mark.parametrize("name", sorted(Q.oracle_sql()))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "labels", "pages", "embeddings"):
+    for t in ("documents", "labels", "pages", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     found = con.execute(E.oracle_sql()[name])
     columns = [d[0] for d in found.description]
@@ -31,5 +31,5 @@ def test_query_equals_sql(spark, name):
 
 def test_one_query_per_operator():
     names = [n for n in Q.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert set(Q.queries()) == {*names, "pipeline"}
