@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # Money is summed as exact decimals (2 fractional digits) so results do not depend on
 # the order in which a distributed SUM adds doubles; outputs stay DOUBLE. 26 digits before the
-# point, so that a sum (38 digits) has room for 10^10 of the largest amounts.
+# point, so that a sum (38 digits) has room for 10^10 of the largest amounts (larger ones: limbs.py).
 MONEY = "decimal(28,2)"
 
 
@@ -26,12 +26,6 @@ def round2(c: str | Column) -> Column:
     return F.round(col_(c), 2)
 
 
-def money(c: str | Column) -> Column:
-    """An amount as an exact decimal; NULL where it does not fit (10^26 and more, NaN, infinity),
-    so that such a row leaves the sums and averages and does not fail the query."""
-    return col_(c).try_cast(MONEY)
-
-
 def exact_avg2(total: Column, count: Column) -> Column:
     """ROUND(total / count, 2) half-up, as DOUBLE, rounded once.
 
