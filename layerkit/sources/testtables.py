@@ -22,12 +22,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import PipelineConfig
 from ..functions.clean import SILVER_COLUMNS
 from ..operators.ranking import rank_within_key
 
-CHUNK_ROWS = PipelineConfig(root="").chunk_rows
-
 # --- fixed values of the fixture rules -----------------------------------------------------
 CUSTOMER_BASE_SEQ = "2023-12-31 00:00:00"  # base version of every customer, before all events
 EMAIL_DOMAIN = "@SHOP.TEST"
@@ -35,6 +32,8 @@ ORDER_STATUS_TEXT = {"O": " delivered", "F": "Shipped ", "P": "pending"}
 BAD_AMOUNT_TEXT = "n/a"
 BAD_DATE_TEXT = "2024-02-30"
 BAD_QUANTITY_JSON = "2.5"
+TEXT_AFTER = ' {"note":"resent"}'
+SENT_TWICE = '{"region":"UNKNOWN",'
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -220,6 +219,14 @@ def json_lines(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
         df = df.withColumn(
             "__j", F.when(_m(k, 31, 5), _append_field(jc, "loyalty_code", F.concat(F.lit("L"), k.cast("string")))).otherwise(F.col("__j"))
         )
+        # text after the object, and a key sent twice (the last one counts)
+        jc = F.col("__j")
+        df = df.withColumn(
+            "__j",
+            F.when(_m(k, 31, 9), F.concat(jc, F.lit(TEXT_AFTER)))
+            .when(_m(k, 31, 11), F.concat(F.lit(SENT_TWICE), F.expr("substring(__j, 2)")))
+            .otherwise(jc),
+        )
     elif entity == "orders":
         jc = F.when(_m(k, 107, 31), F.replace(jc, F.lit('"order_date":null'), F.lit(f'"order_date":"{BAD_DATE_TEXT}"'))).otherwise(jc)
         jc = F.when(_m(k, 37, 6), F.replace(jc, F.lit('"total_amount":null'), F.lit(f'"total_amount":"{BAD_AMOUNT_TEXT}"'))).otherwise(jc)
@@ -241,7 +248,7 @@ def json_lines(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     silver = df.select(*SILVER_COLUMNS[entity](), "_ingested_at", "__j")
     payload = [c for c in silver.columns if c not in (key, "_ingested_at", "__j")]
     keyed = rank_within_key(
-        silver.filter(F.col(key).isNotNull()), [key], ["_ingested_at", *payload], chunk_rows=CHUNK_ROWS
+        silver.filter(F.col(key).isNotNull()), [key], ["_ingested_at", *payload]
     )
     keyless = silver.filter(F.col(key).isNull()).withColumn("__rank", F.lit(1))
     ranked = keyed.select("__rank", "__j").unionByName(keyless.select("__rank", "__j"))
