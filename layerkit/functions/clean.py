@@ -13,6 +13,22 @@ from .expressions import round2
 from .rules import customer_is_valid, line_item_is_valid, order_is_valid
 
 META = ["_ingested_at", "_source_file"]
+#: Hidden order of arrival: file time, then the file's name with numbers in their natural order.
+ORDER = "__order"
+_DIGITS = 40
+
+
+def natural(name: str | Column) -> Column:
+    """A text that sorts as ``name`` does with its numbers compared as numbers (up to 40 digits)."""
+    c = F.col(name) if isinstance(name, str) else name
+    return F.regexp_replace(F.regexp_replace(c, r"(\d+)", "0" * _DIGITS + "$1"), rf"\d*(\d{{{_DIGITS}}})", "$1")
+
+
+def arrival_order(df: DataFrame) -> Column:
+    """Struct of file time (null where the feed has none) and file name, compared field by field."""
+    has_time = "_source_file_modified_at" in df.columns
+    time = F.col("_source_file_modified_at") if has_time else F.lit(None).cast("timestamp")
+    return F.struct(time.alias("file_time"), natural("_source_file").alias("file"))
 
 
 def customer_columns() -> list[Column]:
@@ -56,6 +72,9 @@ SILVER_COLUMNS = {"customers": customer_columns, "orders": order_columns, "line_
 KEY = {"customers": "customer_id", "orders": "order_id", "line_items": "line_item_id"}
 
 
-def clean(bronze: DataFrame, entity: str) -> DataFrame:
-    """``SELECT <clean columns>, _ingested_at, _source_file FROM bronze WHERE key IS NOT NULL``."""
-    return bronze.filter(F.col(KEY[entity]).isNotNull()).select(*SILVER_COLUMNS[entity](), *META)
+def clean(bronze: DataFrame, entity: str, order: bool = False) -> DataFrame:
+    """``SELECT <clean columns>, _ingested_at, _source_file FROM bronze WHERE key IS NOT NULL``.
+
+    ``order``: with the hidden order of arrival, which breaks ties in the CDC targets."""
+    hidden = [arrival_order(bronze).alias(ORDER)] if order else []
+    return bronze.filter(F.col(KEY[entity]).isNotNull()).select(*SILVER_COLUMNS[entity](), *META, *hidden)

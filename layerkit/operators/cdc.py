@@ -14,10 +14,13 @@ Scale notes:
 
 * SCD1 is one ``groupBy(keys).agg(max(struct))``: partial aggregation collapses a hot key
   on the map side, so no task ever holds a whole key.
-* SCD2 needs ordered neighbours per key. Versions are ordered within (key, chunk), chunks
-  being ranges of the sequence that hold about ``chunk_rows`` rows of the feed (``chunks.py``),
-  and the borders of a key's chunks are stitched by a second window over one row per (key,
-  chunk). All keys take this plan; a feed of up to ``chunk_rows`` rows is a single chunk.
+* SCD2 needs ordered neighbours per key. Rows are ordered within (key, bin), bins being fixed
+  ranges of the sequence (``bins.py``), and a key's bins are stitched from one row per (key,
+  bin). All keys take this plan; nothing is looked up before it runs.
+* SCD2 state is kept as segments: a run of equal payload within one bin, with the sorted
+  sequence values that confirmed it. A late row lands in the segments of its own (key, bin):
+  those are split and run again, all others are carried over, and only segments are stitched.
+  The feed that made the state is not read again.
 """
 
 from __future__ import annotations
@@ -25,15 +28,18 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .chunks import chunk_bounds, chunk_of
+from .bins import bin_of, bin_widths, nearest
 
 START_AT = "__START_AT"
 END_AT = "__END_AT"
 HIDDEN_SEQ = "__seq"
-RESERVED = (START_AT, END_AT, HIDDEN_SEQ)
+#: Columns of stored SCD2 segments: whether it opens a version, and what confirmed it.
+OPENS = "__opens"
+CONFIRMED = "__confirmed"
+RESERVED = (START_AT, END_AT, HIDDEN_SEQ, OPENS, CONFIRMED)
 
 
 def _as_list(x: str | Sequence[str]) -> list[str]:
@@ -100,12 +106,12 @@ def to_scd1_state(
 
 
 def is_hidden(column: str) -> bool:
-    """Whether a stored column is the sequence or a tie-break kept beside the visible ones."""
-    return column == HIDDEN_SEQ or re.fullmatch(r"__tb\d+", column) is not None
+    """Whether a stored column is kept beside the visible ones: sequence, tie-breaks, segments."""
+    return column in (HIDDEN_SEQ, OPENS, CONFIRMED) or re.fullmatch(r"__tb\d+", column) is not None
 
 
 def _hidden_cols(df: DataFrame) -> list[str]:
-    return [HIDDEN_SEQ] + sorted(c for c in df.columns if c != HIDDEN_SEQ and is_hidden(c))
+    return [HIDDEN_SEQ] + sorted(c for c in df.columns if c.startswith("__tb") and is_hidden(c))
 
 
 def scd1_reduce(state: DataFrame, keys: str | Sequence[str]) -> DataFrame:
@@ -138,20 +144,12 @@ def scd1_merge(
     seq: str,
     tie_break: Sequence[str] = (),
     except_: Sequence[str] = (),
-    buckets: int | None = None,
 ) -> DataFrame:
     """Merge new change rows into a stored SCD1 state (hidden columns kept).
 
-    With ``buckets`` (``state`` read as a table bucketed by ``keys`` into that many
-    buckets), the new rows are reduced per key (map-side combine) and hash-partitioned the
-    same way, so the final reduce runs bucket by bucket and the stored state is never
-    shuffled.
-    """
+    The greatest sequence wins, so merging the same rows again changes nothing."""
     keys = _as_list(keys)
-    incoming = to_scd1_state(new_rows, keys, seq, tie_break, except_)
-    if buckets:
-        incoming = scd1_reduce(incoming, keys).repartition(buckets, *keys)
-    return scd1_reduce(state.unionByName(incoming), keys)
+    return scd1_reduce(state.unionByName(to_scd1_state(new_rows, keys, seq, tie_break, except_)), keys)
 
 
 def visible_scd1(state: DataFrame) -> DataFrame:
@@ -161,67 +159,84 @@ def visible_scd1(state: DataFrame) -> DataFrame:
 # ----------------------------------------------------------------------------------------
 # SCD type 2
 # ----------------------------------------------------------------------------------------
+def _events(
+    feed: DataFrame, keys: Sequence[str], seq: str, tie_break: Sequence[str], payload: Sequence[str],
+) -> DataFrame:
+    """One row per (key, sequence): __key, __seq, __c (sequence and tie-breaks), __p (payload)."""
+    d = dedup_ties(feed.select(*keys, seq, *tie_break, *payload), keys, seq, tie_break)
+    ties = [F.col(t).alias(_hidden_tb(i)) for i, t in enumerate(tie_break)]
+    return d.select(
+        F.struct(*keys).alias("__key"), F.col(seq).alias("__seq"),
+        F.struct(F.col(seq).alias("seq"), *ties).alias("__c"), F.struct(*payload).alias("__p"),
+    )
+
+
+def _runs(events: DataFrame, widths: Sequence[int], confirmed: bool) -> DataFrame:
+    """Runs of equal payload within (key, bin): __key, __bin, __seq (first), __p[, __confirmed]."""
+    w = Window.partitionBy("__key", "__bin").orderBy("__seq")
+    opens = ~F.lag("__p").over(w).eqNullSafe(F.col("__p"))
+    marked = events.withColumn("__bin", bin_of(events, "__seq", widths)).withColumn("__opens", opens)
+    if not confirmed:
+        return marked.filter("__opens").select("__key", "__bin", "__seq", "__p")
+    # a struct, so that a null sequence is a value
+    first = F.last(F.when(F.col("__opens"), F.struct("__seq")), ignorenulls=True)
+    numbered = marked.withColumn("__run", first.over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return numbered.groupBy("__key", "__bin", "__run").agg(
+        F.first("__p").alias("__p"), F.sort_array(F.collect_list("__c")).alias(CONFIRMED),
+    ).select("__key", "__bin", F.col("__run.__seq").alias("__seq"), "__p", CONFIRMED)
+
+
+def _stitched(segments: DataFrame, widths: Sequence[int]) -> DataFrame:
+    """Segments with __opens (a version starts here) and __end (where the next one starts).
+
+    Neighbours in a bin differ in payload, so only the first segment of a bin may continue a
+    version of an earlier bin. That is decided from one row per (key, bin)."""
+    w = Window.partitionBy("__key", "__bin").orderBy("__seq")
+    s = segments.withColumns({"__n": F.row_number().over(w), "__next": F.lead(F.struct("__seq")).over(w)})
+    edges = s.groupBy("__key", "__bin").agg(
+        F.max(F.when(F.col("__n") == 1, F.struct("__seq", "__p"))).alias("__first"),
+        F.max(F.when(F.col("__n") == 2, F.struct("__seq"))).alias("__second"),
+        F.max(F.struct("__seq", "__p")).alias("__last"),
+    )
+    edges = nearest(edges, "__key", "__bin", F.col("__last.__p"), widths[1:], "__before")
+    edges = edges.withColumn("__starts", ~F.col("__before").eqNullSafe(F.col("__first.__p")))
+    opening = F.when(F.col("__starts"), F.struct(F.col("__first.__seq").alias("__seq"))).otherwise(F.col("__second"))
+    edges = nearest(edges.withColumn("__open", opening), "__key", "__bin", F.col("__open"), widths[1:], "__after", after=True)
+    met = s.join(edges.select("__key", "__bin", "__starts", "__after"), ["__key", "__bin"])
+    return met.withColumns({
+        OPENS: (F.col("__n") > 1) | F.col("__starts"), "__end": F.coalesce("__next", "__after")["__seq"],
+    })
+
+
+def _visible(stitched: DataFrame, keys: Sequence[str], columns: Sequence[str], *more: str) -> DataFrame:
+    own = [F.col(f"__key.{c}") if c in keys else F.col(f"__p.{c}") for c in columns]
+    return stitched.select(
+        *[x.alias(c) for x, c in zip(own, columns)], F.col("__seq").alias(START_AT), F.col("__end").alias(END_AT), *more,
+    )
+
+
 def scd2(
     feed: DataFrame,
     keys: str | Sequence[str],
     seq: str,
     tie_break: Sequence[str] = (),
     except_: Sequence[str] = (),
-    chunk_rows: int | None = None,
+    widths: Sequence[int] | None = None,
 ) -> DataFrame:
     """``APPLY CHANGES ... STORED AS SCD TYPE 2``: full history with validity ranges.
 
     A row opens a version when its payload differs (null-safe) from the previous row of the
-    key in sequence order; ``__START_AT`` is its sequence value and ``__END_AT`` the
-    sequence value of the next version (NULL while current).
+    key in sequence order (a null sequence comes first); ``__START_AT`` is its sequence value and
+    ``__END_AT`` the sequence value of the next version (NULL while current).
 
-    ``chunk_rows``: feed rows per chunk of the sequence (None: one chunk). Only the sequence
-    column is read to find the bounds.
+    ``widths``: widths of the sequence's bins, level by level (default by its type); the rows do
+    not depend on them.
     """
     keys = _as_list(keys)
     payload = payload_columns(feed, keys, seq, tie_break, except_)
-    d = dedup_ties(feed, keys, seq, tie_break, except_).select(*keys, seq, F.struct(*payload).alias("__p"))
-    bounds = chunk_bounds(feed, seq, chunk_rows)
-    d = d.withColumn("__chunk", chunk_of(d, seq, bounds))
-
-    w = Window.partitionBy(*keys, "__chunk").orderBy(seq)
-    prev: Column = F.lag("__p").over(w)
-    parts = d
-    across = Window.partitionBy(*keys).orderBy("__chunk")
-    if bounds:
-        # last payload of the key's previous chunk: one row per (key, chunk), at most MOST per key
-        borders = (
-            d.groupBy(*keys, "__chunk").agg(F.max_by("__p", seq).alias("__last_p"))
-            .select(*keys, "__chunk", F.lag("__last_p").over(across).alias("__prev_last_p"))
-        )
-        parts = _join_null_safe(d, borders, [*keys, "__chunk"])
-        prev = F.coalesce(prev, F.col("__prev_last_p"))
-
-    kept = parts.withColumn("__prev", prev).filter(~F.col("__prev").eqNullSafe(F.col("__p")))
-    end: Column = F.lead(seq).over(w)
-    if bounds:
-        firsts = (
-            kept.groupBy(*keys, "__chunk").agg(F.min(seq).alias("__first_kept"))
-            .select(*keys, "__chunk", F.lead("__first_kept").over(across).alias("__next_first"))
-        )
-        kept = _join_null_safe(kept, firsts, [*keys, "__chunk"])
-        end = F.coalesce(end, F.col("__next_first"))
-
-    visible = [c for c in feed.columns if c in set(keys) | set(payload)]
-    return kept.select(
-        *[F.col(c) if c in keys else F.col(f"__p.{c}").alias(c) for c in visible],
-        F.col(seq).alias(START_AT),
-        end.alias(END_AT),
-    )
-
-
-def _join_null_safe(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-    """Left join on columns that may be null; ``right`` has each combination once at most."""
-    r = right.select(*[F.col(c).alias(f"__on_{i}") for i, c in enumerate(on)], *[c for c in right.columns if c not in on])
-    match = F.lit(True)
-    for i, c in enumerate(on):
-        match = match & left[c].eqNullSafe(r[f"__on_{i}"])
-    return left.join(r, match, "left").drop(*[f"__on_{i}" for i in range(len(on))])
+    widths = bin_widths(feed, seq, widths)
+    stitched = _stitched(_runs(_events(feed, keys, seq, tie_break, payload), widths, False), widths)
+    return _visible(stitched.filter(OPENS), keys, [c for c in feed.columns if c in {*keys, *payload}])
 
 
 def current_rows(history: DataFrame) -> DataFrame:
@@ -229,30 +244,56 @@ def current_rows(history: DataFrame) -> DataFrame:
     return history.filter(F.col(END_AT).isNull())
 
 
-def scd2_recompute_touched(
-    history: DataFrame,
-    log: DataFrame,
-    new_rows: DataFrame,
+def scd2_state(
+    feed: DataFrame,
     keys: str | Sequence[str],
     seq: str,
     tie_break: Sequence[str] = (),
     except_: Sequence[str] = (),
-    chunk_rows: int | None = None,
-    buckets: int | None = None,
+    widths: Sequence[int] | None = None,
 ) -> DataFrame:
-    """Incremental SCD2: rebuild only the keys present in ``new_rows`` from the full log.
+    """The history as stored: segments with what confirmed them (see the module's notes)."""
+    keys = _as_list(keys)
+    payload = payload_columns(feed, keys, seq, tie_break, except_)
+    widths = bin_widths(feed, seq, widths)
+    stitched = _stitched(_runs(_events(feed, keys, seq, tie_break, payload), widths, True), widths)
+    return _visible(stitched, keys, [c for c in feed.columns if c in {*keys, *payload}], OPENS, CONFIRMED)
+
 
-    Late events (sequence below the current version) land at their sequence position,
-    which the stored history alone cannot do once no-op rows were dropped.
+def visible_scd2(state: DataFrame) -> DataFrame:
+    """The versions of a stored history."""
+    return state.filter(OPENS).drop(OPENS, CONFIRMED)
+
+
+def scd2_merge(
+    state: DataFrame,
+    new_rows: DataFrame,
+    keys: str | Sequence[str],
+    seq: str,
+    tie_break: Sequence[str] = (),
+    except_: Sequence[str] = (),
+    widths: Sequence[int] | None = None,
+) -> DataFrame:
+    """Merge new change rows, late ones too, into a stored history (same ``widths`` as made it).
 
-    With ``buckets`` (``history`` read as a table bucketed by ``keys``), the anti-join runs
-    bucket by bucket on the stored side and the rebuilt keys are hash-partitioned into the
-    same buckets, so the stored history is never shuffled.
+    The segments of the (key, bin) that a new row falls into are split back into the sequence
+    values that confirmed them, run again with the new rows, and stitched to the others. One row
+    per (key, sequence) stays, as in a single pass; merging the same rows again changes nothing.
     """
     keys = _as_list(keys)
-    touched = new_rows.select(*keys).distinct()
-    rebuilt = scd2(log.join(touched, keys, "left_semi"), keys, seq, tie_break, except_, chunk_rows)
-    if buckets:
-        rebuilt = rebuilt.repartition(buckets, *keys)
-    untouched = history.join(touched, keys, "left_anti")
-    return untouched.unionByName(rebuilt)
+    payload = payload_columns(new_rows, keys, seq, tie_break, except_)
+    widths = bin_widths(new_rows, seq, widths)
+    visible = [c for c in new_rows.columns if c in {*keys, *payload}]
+    new = _events(new_rows, keys, seq, tie_break, payload)
+    segments = state.select(
+        F.struct(*keys).alias("__key"), bin_of(state, START_AT, widths).alias("__bin"),
+        F.col(START_AT).alias("__seq"), F.struct(*payload).alias("__p"), CONFIRMED,
+    )
+    hit = new.select("__key", bin_of(new, "__seq", widths).alias("__bin")).distinct()
+    split = segments.join(hit, ["__key", "__bin"], "left_semi").select("__key", "__p", F.explode(CONFIRMED).alias("__c"))
+    both = split.select("__key", F.col("__c.seq").alias("__seq"), "__c", "__p").unionByName(new)
+    # the same rule as for ties in a feed: tie-breaks, then payload
+    won = both.groupBy("__key", "__seq").agg(F.max(F.struct("__c", "__p")).alias("__w")).select("__key", "__seq", "__w.__c", "__w.__p")
+    rest = segments.join(hit, ["__key", "__bin"], "left_anti")
+    stitched = _stitched(rest.unionByName(_runs(won, widths, True)), widths)
+    return _visible(stitched, keys, visible, OPENS, CONFIRMED)

@@ -15,19 +15,17 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import SCHEMA_HINTS, PipelineConfig
-from ..functions.clean import clean
+from ..functions.clean import ORDER, arrival_order, clean
 from ..operators import cdc, marts
 from ..session import run_dir
-from ..sinks.tables import latest_version, read_version, run_append_stream, write_clustered
+from ..sinks.tables import ensure_schema, run_append_stream, write_clustered
 from ..sources import testtables as tt
 from ..sources.json_ingest import RESCUED, read_json_batch, read_json_stream
-from ..streaming.cdc_apply import apply_scd1, apply_scd2
+from ..streaming.cdc_apply import Target, refresh_target
 from . import pipeline
 
 SEQ = "_ingested_at"
 TIE = ("_source_file",)
-# feed rows per chunk of the sequence in SCD2
-CHUNK_ROWS = PipelineConfig(root="").chunk_rows
 
 
 # ----------------------------------------------------------------------------------------
@@ -45,8 +43,8 @@ def fact_line_items(spark: SparkSession, sf: str) -> DataFrame:
     return cdc.scd1(silver(spark, sf, "line_items"), "line_item_id", SEQ, TIE)
 
 
-def dim_customers(spark: SparkSession, sf: str, chunk_rows: int | None = CHUNK_ROWS) -> DataFrame:
-    return cdc.scd2(silver(spark, sf, "customers"), "customer_id", SEQ, TIE, chunk_rows=chunk_rows)
+def dim_customers(spark: SparkSession, sf: str, widths: tuple[int, ...] | None = None) -> DataFrame:
+    return cdc.scd2(silver(spark, sf, "customers"), "customer_id", SEQ, TIE, widths=widths)
 
 
 def mv_sales_by_region_monthly(spark: SparkSession, sf: str) -> DataFrame:
@@ -64,7 +62,7 @@ def scd2_noop_suppressed(spark: SparkSession, sf: str) -> DataFrame:
     again = feed.filter(F.col("_source_file") == "customer").withColumns(
         {SEQ: F.lit("2023-12-31 12:00:00").cast("timestamp_ntz"), "_source_file": F.lit("customer-redelivery")}
     )
-    return cdc.scd2(feed.unionByName(again), "customer_id", SEQ, TIE, chunk_rows=CHUNK_ROWS)
+    return cdc.scd2(feed.unionByName(again), "customer_id", SEQ, TIE)
 
 
 LATE_SPLIT = "2024-01-16 00:00:00"
@@ -72,18 +70,17 @@ LATE_SPLIT = "2024-01-16 00:00:00"
 
 def scd2_late_arrival(spark: SparkSession, sf: str) -> DataFrame:
     """Later events arrive first; the earlier ones (and the base rows) arrive late and are
-    merged incrementally. The result must equal the history built in one pass."""
+    merged into the stored segments. The result must equal the history built in one pass."""
     feed = silver(spark, sf, "customers")
     late_cut = F.lit(LATE_SPLIT).cast("timestamp_ntz")
     first = feed.filter(F.col(SEQ) >= late_cut)
     late = feed.filter(F.col(SEQ) < late_cut)
-    hist = cdc.scd2(first, "customer_id", SEQ, TIE, chunk_rows=CHUNK_ROWS)
-    return cdc.scd2_recompute_touched(
-        hist, first.unionByName(late), late, "customer_id", SEQ, TIE, chunk_rows=CHUNK_ROWS
-    )
+    path = run_dir(spark, "segments")
+    cdc.scd2_state(first, "customer_id", SEQ, TIE).write.parquet(path)
+    return cdc.visible_scd2(cdc.scd2_merge(spark.read.parquet(path), late, "customer_id", SEQ, TIE))
 
 
-SKEW_CHUNK_ROWS = 250
+SKEW_BINS = (1 << 30, 1 << 10)  # 18 minutes, 12.7 days
 
 
 def skewed_customers(spark: SparkSession, sf: str) -> DataFrame:
@@ -94,34 +91,36 @@ def skewed_customers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def scd2_skewed_key(spark: SparkSession, sf: str) -> DataFrame:
-    """History of a feed with one hot key, built in many chunks of the sequence."""
-    return cdc.scd2(skewed_customers(spark, sf), "customer_id", SEQ, TIE, chunk_rows=SKEW_CHUNK_ROWS)
+    """History of a feed with one hot key, built in many bins of the sequence on two levels."""
+    return cdc.scd2(skewed_customers(spark, sf), "customer_id", SEQ, TIE, widths=SKEW_BINS)
 
 
 def cdc_apply_late_arrival(spark: SparkSession, sf: str) -> DataFrame:
     """Three deliveries into both kinds of target: later events first, then earlier events and
     base rows of the same customers, then customers never seen, all of whose rows are older
-    than rows applied before. A fourth run has nothing to apply."""
+    than rows applied before. A fourth run has nothing to apply. Each apply reads the new files of
+    the log and the stored targets, nothing else."""
     root = run_dir(spark, "late")
+    schema = f"late_{root.rsplit('-', 1)[-1]}"
+    ensure_schema(spark, schema, f"{root}/db")
     feed = silver(spark, sf, "customers")
     new_key = F.col("customer_id").cast("long") % 3 == 0
     early = F.col(SEQ) < F.lit(LATE_SPLIT).cast("timestamp_ntz")
     feed = feed.withColumn("delivery", F.when(new_key, 3).when(early, 2).otherwise(1))
-    tie = (*TIE, "delivery")
+    targets = [
+        Target(f"{schema}.{kind}", f"{root}/{kind}", ("customer_id",), kind, SEQ, (*TIE, "delivery"), buckets=8)
+        for kind in ("scd1", "scd2")
+    ]
     for d in (1, 2, 3, 4):
         feed.filter(F.col("delivery") == d).write.mode("append").parquet(f"{root}/log")
-        log = spark.read.schema(feed.schema).parquet(f"{root}/log")
-        done = [
-            apply_scd1(spark, log, f"{root}/scd1", ["customer_id"], SEQ, tie, batch="delivery"),
-            apply_scd2(spark, log, f"{root}/scd2", ["customer_id"], SEQ, tie, batch="delivery"),
-        ]
-        if any(x["applied"] != (d < 4) for x in done):
-            raise RuntimeError(f"delivery {d}: {done}")
-    latest = cdc.visible_scd1(read_version(spark, latest_version(spark, f"{root}/scd1")))
-    history = read_version(spark, latest_version(spark, f"{root}/scd2"))
+        for t in targets:
+            log = spark.readStream.schema(feed.schema).parquet(f"{root}/log")
+            done = refresh_target(spark, t, log, f"{root}/{t.kind}-changes")
+            if done["applied"] != (d < 4):
+                raise RuntimeError(f"delivery {d}: {done}")
     none = F.lit(None).cast("timestamp_ntz")
-    latest = latest.withColumns({"kind": F.lit("scd1"), cdc.START_AT: none, cdc.END_AT: none})
-    return latest.unionByName(history.withColumn("kind", F.lit("scd2")))
+    latest = spark.table(targets[0].view).withColumns({"kind": F.lit("scd1"), cdc.START_AT: none, cdc.END_AT: none})
+    return latest.unionByName(spark.table(targets[1].view).withColumn("kind", F.lit("scd2")))
 
 
 def pipeline_scd2_incremental(spark: SparkSession, sf: str) -> DataFrame:
@@ -142,7 +141,13 @@ def pipeline_scd2_incremental(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def scd_tie_break(spark: SparkSession, sf: str) -> DataFrame:
-    return cdc.dedup_ties(silver(spark, sf, "line_items"), "line_item_id", SEQ, TIE)
+    """Line items of two files of one batch, told apart by their names: of two rows with one key
+    and sequence that of the tenth file wins over that of the ninth, then the payload decides."""
+    odd = F.coalesce("quantity", F.lit(0)) % 2 != 0
+    name = F.when(odd, "line_items_10.json").otherwise("line_items_9.json")
+    feed = silver(spark, sf, "line_items").withColumn("_source_file", name)
+    ordered = feed.withColumn(ORDER, arrival_order(feed))
+    return cdc.dedup_ties(ordered, "line_item_id", SEQ, (ORDER,)).drop(ORDER)
 
 
 # ----------------------------------------------------------------------------------------
@@ -190,6 +195,20 @@ def _ingest(spark: SparkSession, sf: str, entity: str) -> DataFrame:
     )
 
 
+def ingest_bounded_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """A backlog of line-item files taken in batches of at most a quarter of its bytes; files of
+    finished batches are archived. Every row arrives once."""
+    root = run_dir(spark, "bounded")
+    write_raw(spark, sf, f"{root}/raw", "line_items")
+    size = spark.read.option("recursiveFileLookup", "true").text(f"{root}/raw/line_items").agg(F.sum(F.octet_length("value") + 1)).first()[0]
+    stream = read_json_stream(
+        spark, f"{root}/raw/line_items", SCHEMA_HINTS["line_items"], max_bytes_per_trigger=-(-(size or 1) // 4), archive_dir=f"{root}/archive",
+    )
+    taken = run_append_stream(stream, f"{root}/bronze", f"{root}/_checkpoint")
+    bronze = spark.read.schema(pipeline.bronze_schema("line_items")).parquet(f"{root}/bronze")
+    return bronze.select(*tt.TYPED["line_items"], RESCUED, F.lit(taken["batches"] > 1).alias("in_several_batches"))
+
+
 def ingest_rescued_data(spark: SparkSession, sf: str) -> DataFrame:
     root = run_dir(spark, "rescue")
     write_raw_all(spark, sf, f"{root}/raw")
@@ -220,6 +239,19 @@ def clustered_write(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def clustered_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """The nine clustered datasets after two deliveries of line items: rows, lowest and highest
+    key, whether there are 4 files at least, and whether the files that were written together (a
+    run of an append table, a bucket of a target) have disjoint key ranges."""
+    cfg = _pipeline_cfg(spark, "clustered")
+    write_raw_all(spark, sf, cfg.raw, ("customers", "orders"))
+    for part in (True, False):
+        write_raw(spark, sf, cfg.raw, "line_items", first_batch_only=part)
+        pipeline.refresh(spark, cfg, only=[d.name for d in pipeline.DATASETS if d.cluster_by])
+        pipeline.recluster(spark, cfg)
+    return pipeline.cluster_report(spark, cfg)
+
+
 def _pipeline_cfg(spark: SparkSession, label: str) -> PipelineConfig:
     root = run_dir(spark, label)
     tag = root.rsplit("-", 1)[-1]
@@ -277,9 +309,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ingest_json_orders": lambda s, d: _ingest(s, d, "orders"),
         "ingest_json_line_items": lambda s, d: _ingest(s, d, "line_items"),
         "ingest_rescued_data": ingest_rescued_data,
+        "ingest_bounded_batches": ingest_bounded_batches,
         "stream_incremental_silver": stream_incremental_silver,
         "dataset_catalog": dataset_catalog,
         "clustered_write": clustered_write,
+        "clustered_tables": clustered_tables,
         "silver_customers": lambda s, d: silver(s, d, "customers"),
         "silver_orders": lambda s, d: silver(s, d, "orders"),
         "silver_line_items": lambda s, d: silver(s, d, "line_items"),

@@ -15,7 +15,7 @@ BATCH_KEYS = [
     "scd2_skewed_key", "cdc_apply_late_arrival", "pipeline_scd2_incremental",
     "join_orders_current_customers", "join_line_items_orders", "agg_count_distinct", "agg_conditional",
     "agg_conditional_distinct", "mv_sales_by_region_monthly", "mv_product_sales_metrics", "clustered_write",
-    "ingest_json_orders", "ingest_rescued_data",
+    "ingest_json_orders", "ingest_rescued_data", "ingest_bounded_batches", "clustered_tables", "dataset_catalog", "pipeline_end_to_end",
 ]
 
 
@@ -45,7 +45,7 @@ def test_every_query_has_an_oracle():
     from layerkit.plans import oracle, queries
 
     assert set(queries.queries()) == set(oracle.oracle_sql())
-    assert len(queries.queries()) == 29
+    assert len(queries.queries()) == 31
     assert set(E.oracle_sql()) <= set(E.queries())
 
 

@@ -5,7 +5,7 @@ import pytest
 from layerkit.config import PipelineConfig
 from layerkit.operators import marts
 from layerkit.plans import pipeline, queries
-from layerkit.sinks.tables import committed_versions, latest_version
+from layerkit.streaming.cdc_apply import refresh_number
 from tests.conftest import SF0001
 
 
@@ -33,25 +33,26 @@ def test_marts_equal_batch_flow(spark, ran):
     assert _rows(m2) == _rows(queries.mv_product_sales_metrics(spark, SF0001))
 
 
+def _numbers(spark, cfg, names):
+    return {n: refresh_number(spark, pipeline.target_of(cfg, pipeline.BY_NAME[n])) for n in names}
+
+
 def test_rerun_without_new_files_changes_nothing(spark, ran):
     cfg, _ = ran
-    before = {n: latest_version(spark, cfg.table_path("gold", n)).number for n in ("fact_orders", "dim_customers")}
+    names = ("fact_orders", "dim_customers")
+    before = _numbers(spark, cfg, names)
     counts = {n: pipeline.read_dataset(spark, cfg, n).count() for n in ("bronze_orders", "silver_orders")}
     stats = pipeline.refresh(spark, cfg, only=["bronze_orders", "silver_orders", "fact_orders", "dim_customers"])
     assert stats["fact_orders"]["applied"] is False and stats["dim_customers"]["applied"] is False
     assert stats["bronze_orders"]["rows"] == 0
-    after = {n: latest_version(spark, cfg.table_path("gold", n)).number for n in before}
-    assert before == after
+    assert before == _numbers(spark, cfg, names) == {n: 1 for n in names}
     assert counts == {n: pipeline.read_dataset(spark, cfg, n).count() for n in counts}
 
 
 def test_views_skip_refresh_when_inputs_unchanged(spark, ran):
     cfg, _ = ran
-    views = list(pipeline.VIEW_INPUTS)
-    before = {n: latest_version(spark, cfg.table_path("gold", n)).number for n in views}
-    stats = pipeline.refresh(spark, cfg, only=views)
-    assert all(stats[n]["applied"] is False for n in views)
-    assert before == {n: latest_version(spark, cfg.table_path("gold", n)).number for n in views}
+    stats = pipeline.refresh(spark, cfg, only=list(pipeline.VIEW_INPUTS))
+    assert all(stats[n] == {"applied": False, "refresh": 1} for n in pipeline.VIEW_INPUTS)
 
 
 def test_catalog_metadata(spark, ran):
@@ -64,21 +65,23 @@ def test_catalog_metadata(spark, ran):
     assert all(r.row_count > 0 for r in rows.values())
 
 
-def test_snapshot_clustered_files_have_disjoint_key_ranges(spark, ran):
+def test_clustered_files_have_disjoint_key_ranges(spark, ran):
+    cfg, _ = ran
+    before = {n: pipeline.read_dataset(spark, cfg, n).count() for n in ("bronze_orders", "silver_line_items")}
+    assert all(x == {"applied": True, "refresh": 1} for x in pipeline.recluster(spark, cfg).values())
+    assert all(x == {"applied": False, "refresh": 1} for x in pipeline.recluster(spark, cfg).values())
+    rows = {r.dataset: r for r in pipeline.cluster_report(spark, cfg).collect()}
+    assert set(rows) == {d.name for d in pipeline.DATASETS if d.cluster_by} and len(rows) == 9
+    assert all(r.four_files and r.disjoint for r in rows.values())
+    for name, n in before.items():
+        table = spark.table(pipeline.clustered_table(cfg, name)).drop("__run")
+        assert rows[name].row_count == n
+        assert table.exceptAll(pipeline.read_dataset(spark, cfg, name)).count() == 0
+    # a lookup by key reads the one file of the run whose range has it
     from pyspark.sql import functions as F
 
-    cfg, _ = ran
-    v = latest_version(spark, cfg.table_path("gold", "fact_line_items"))
-    per_file = (
-        spark.read.parquet(v.path)
-        .groupBy(F.col("_metadata.file_path").alias("f"))
-        .agg(F.min("line_item_id").alias("lo"), F.max("line_item_id").alias("hi"))
-        .orderBy("lo")
-        .collect()
-    )
-    assert len(per_file) >= 1
-    for a, b in zip(per_file, per_file[1:]):
-        assert a.hi < b.lo
+    plan = spark.table(pipeline.clustered_table(cfg, "silver_line_items")).filter(F.col("line_item_id") == "7-1")
+    assert "EqualTo(line_item_id,7-1)" in plan._jdf.queryExecution().executedPlan().toString()
 
 
 def test_selective_refresh_rejects_unknown(spark, ran):
@@ -117,97 +120,90 @@ def test_refresh_keeps_the_catalog_entry(spark, scratch):
     assert meta["comment"] == "two" and meta["properties"]["a"] == "2"
 
 
-def test_failed_refresh_is_redone_idempotently(spark, scratch):
-    from layerkit.sinks.tables import publish_version
-
-    d = spark.range(10).withColumnRenamed("id", "k")
-    t = f"{scratch}/t"
-    publish_version(spark, d, t, {"x": 1}, cluster_by=["k"])
-    # a half-written next version (no commit marker) is invisible and gets overwritten
-    d.write.parquet(f"{t}/version_00002")
-    assert [v.number for v in committed_versions(spark, t)] == [1]
-    v = publish_version(spark, d.filter("k < 5"), t, {"x": 2})
-    assert v.number == 2 and spark.read.parquet(v.path).count() == 5
-
-
-def test_latest_version_is_newest_committed_with_its_ledger(spark, scratch):
-    from layerkit.sinks.tables import publish_version
-
-    t = f"{scratch}/lv"
-    assert latest_version(spark, t) is None
-    d = spark.range(3).withColumnRenamed("id", "k")
-    for i in range(1, 4):
-        publish_version(spark, d, t, {"applied_through": i})
-    d.write.parquet(f"{t}/version_00004")  # written but never committed
-    v = latest_version(spark, t)
-    assert (v.number, v.ledger) == (3, {"applied_through": 3})
-    assert [x.number for x in committed_versions(spark, t)] == [1, 2, 3]
-
-
-def test_bucketed_scd1_merge_equals_plain_and_never_shuffles_the_snapshot(spark, scratch):
-    import contextlib
-    import io
-
-    from pyspark.sql import functions as F
-
-    from layerkit.operators import cdc
-    from layerkit.sinks.tables import read_bucketed, read_version
-    from layerkit.streaming.cdc_apply import apply_scd1
-
-    keys, seq, tb = ["line_item_id"], "_ingested_at", ("_source_file",)
-    feed = queries.silver(spark, SF0001, "line_items")
-    first = feed.filter(F.col(seq) < F.lit("1996-01-01").cast("timestamp_ntz"))
-    later = feed.filter(F.col(seq) >= F.lit("1996-01-01").cast("timestamp_ntz"))
-    got = {}
-    for label, buckets in (("bucketed", 4), ("plain", None)):
-        t = f"{scratch}/scd1-{label}"
-        apply_scd1(spark, first, t, keys, seq, tb, buckets=buckets)  # log at the first refresh
-        assert apply_scd1(spark, feed, t, keys, seq, tb, buckets=buckets)["applied"]  # whole log later
-        got[label] = _rows(cdc.visible_scd1(read_version(spark, latest_version(spark, t))))
-    assert got["bucketed"] == got["plain"] == _rows(cdc.scd1(feed, keys, seq, tb))
-
-    # the merge plan reads the stored version as a bucketed scan, and every shuffle is below
-    # the union, on the new rows' side
-    t = f"{scratch}/scd1-plan"
-    apply_scd1(spark, first, t, keys, seq, tb, buckets=4)
-    state = read_bucketed(spark, latest_version(spark, t), keys, 4)
-    out = io.StringIO()
-    with contextlib.redirect_stdout(out):
-        cdc.scd1_merge(state, later, keys, seq, tb, buckets=4).explain()
-    plan = out.getvalue()
-    assert "Bucketed: true" in plan
-    above_union = plan[: plan.index("Union")]
-    assert "Exchange" not in above_union
-
-
-def test_bucketed_scd2_apply_equals_plain_and_one_pass(spark, scratch):
-    from pyspark.sql import functions as F
-
-    from layerkit.operators import cdc
-    from layerkit.sinks.tables import read_version
-    from layerkit.streaming.cdc_apply import apply_scd2
-
-    keys, seq, tb = ["customer_id"], "_ingested_at", ("_source_file",)
-    feed = queries.silver(spark, SF0001, "customers")
-    first = feed.filter(F.col(seq) < F.lit(queries.LATE_SPLIT).cast("timestamp_ntz"))
-    got = {}
-    for label, buckets in (("bucketed", 4), ("plain", None)):
-        t = f"{scratch}/scd2-{label}"
-        apply_scd2(spark, first, t, keys, seq, tb, buckets=buckets)
-        # the second delivery touches keys already in the stored history: they are rebuilt
-        # from the whole log, the others carried over
-        assert apply_scd2(spark, feed, t, keys, seq, tb, buckets=buckets)["applied"]
-        got[label] = _rows(read_version(spark, latest_version(spark, t)))
-    assert got["bucketed"] == got["plain"] == _rows(cdc.scd2(feed, keys, seq, tb))
-
-
-def test_failed_bucketed_publish_is_redone(spark, scratch):
-    from layerkit.sinks.tables import publish_version
-
-    d = spark.range(10).withColumnRenamed("id", "k")
-    t = f"{scratch}/tb"
-    publish_version(spark, d, t, {"x": 1}, bucket_by=(["k"], 2))
-    d.write.parquet(f"{t}/version_00002")  # half-written, never committed
-    v = publish_version(spark, d.filter("k < 5"), t, {"x": 2}, bucket_by=(["k"], 2))
-    assert v.number == 2 and spark.read.parquet(v.path).count() == 5
-    assert latest_version(spark, t).ledger == {"x": 2, "bucketed": [["k"], 2]}
+def test_catalog_is_chosen_by_target():
+    named = {"prod": "lake"}
+    assert PipelineConfig.for_target("r", "prod", named).qualified("gold", "fact_orders") == "lake.gold.fact_orders"
+    assert PipelineConfig.for_target("r", "dev", named).qualified("gold", "fact_orders") == "spark_catalog.gold_dev.fact_orders"
+
+
+def _write_lines(path, rows):
+    import json
+    import os
+
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as f:
+        f.writelines(json.dumps(r) + "\n" for r in rows)
+
+
+def _local(path):
+    return path.replace("file://", "").replace("file:", "")
+
+
+def test_ties_go_by_file_time_then_natural_file_order(spark, scratch):
+    """Three files of one batch give one key: the tenth is later than the ninth, unless the
+    file time says otherwise."""
+    import os
+
+    cfg = PipelineConfig.for_target(scratch).with_(bronze_schema="tie_b", silver_schema="tie_s", gold_schema="tie_g")
+    raw = _local(cfg.raw_dir("orders"))
+    order = {"order_id": "1", "customer_id": "c", "order_date": "2024-01-05", "total_amount": 1.0}
+    for n, when in ((9, 1_700_000_000), (10, 1_700_000_000), (11, 1_600_000_000)):
+        _write_lines(f"{raw}/orders_{n}.json", [order | {"status": f"s{n}"}])
+        os.utime(f"{raw}/orders_{n}.json", (when, when))
+    pipeline.refresh(spark, cfg, only=["bronze_orders", "silver_orders", "fact_orders"])
+    assert [r.status for r in spark.table(cfg.qualified("gold", "fact_orders")).collect()] == ["S10"]
+    # a later delivery of an older file has a later sequence
+    _write_lines(f"{raw}/orders_2.json", [order | {"status": "s2"}])
+    pipeline.refresh(spark, cfg, only=["bronze_orders", "silver_orders", "fact_orders"])
+    assert [r.status for r in spark.table(cfg.qualified("gold", "fact_orders")).collect()] == ["S2"]
+
+
+def test_names_sort_with_their_numbers(spark):
+    from layerkit.functions.clean import natural
+
+    names = ["a/orders_9.json", "a/orders_10.json", "a/orders_100.json", "a/x", "b2/1.json", "b10/0.json", "b10/00.json"]
+    df = spark.createDataFrame([(n,) for n in names], "n string")
+    assert [r.n for r in df.orderBy(natural("n"), "n").collect()] == [*names[:5], "b10/0.json", "b10/00.json"]
+
+
+def test_bounded_batches_archive_and_a_batch_that_fails(spark, scratch):
+    """Eight files in batches of about two; a batch lost between its data and its commit, and one
+    lost between the table's commit and the checkpoint's, are run again: nothing lost or doubled."""
+    import os
+
+    from layerkit.config import SCHEMA_HINTS
+    from layerkit.sinks.tables import run_append_stream
+    from layerkit.sources.json_ingest import read_json_stream
+
+    raw, out, ckpt = _local(f"{scratch}/raw"), _local(f"{scratch}/bronze"), _local(f"{scratch}/ckpt")
+
+    def put(n):
+        _write_lines(f"{raw}/{n}.json", [{"order_id": f"{n}-{i}"} for i in range(10)])
+
+    def run():
+        stream = read_json_stream(spark, raw, SCHEMA_HINTS["orders"], max_bytes_per_trigger=2 * size + 1, archive_dir=f"{scratch}/old")
+        return run_append_stream(stream, out, ckpt)
+
+    for n in range(10, 18):
+        put(n)
+    size = os.path.getsize(f"{raw}/10.json")
+    assert run() == {"batches": 4, "rows": 80}
+    ids = lambda: sorted(r.order_id for r in spark.read.parquet(out).select("order_id").collect())
+    want = sorted(f"{n}-{i}" for n in range(10, 18) for i in range(10))
+    assert ids() == want
+    put(18)
+    assert run()["rows"] == 10
+    os.remove(f"{ckpt}/commits/4")  # the table has the batch, the checkpoint does not
+    want = sorted(want + [f"18-{i}" for i in range(10)])
+    run()
+    assert ids() == want
+    put(19)
+    assert run()["rows"] == 10
+    # the files are there, neither log has the batch
+    os.remove(f"{ckpt}/commits/5")
+    os.remove(f"{out}/_spark_metadata/5")
+    run()
+    assert ids() == sorted(want + [f"19-{i}" for i in range(10)])
+    assert any(files for _, _, files in os.walk(_local(f"{scratch}/old")))
+    with pytest.raises(ValueError):
+        read_json_stream(spark, raw, SCHEMA_HINTS["orders"], max_files_per_trigger=1, max_bytes_per_trigger=1)
