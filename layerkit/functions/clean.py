@@ -13,22 +13,27 @@ from .expressions import round2
 from .rules import customer_is_valid, line_item_is_valid, order_is_valid
 
 META = ["_ingested_at", "_source_file"]
-#: Hidden order of arrival: file time, then the file's name with numbers in their natural order.
+#: Hidden order of arrival: file time, folder, then the file's name with numbers in their natural order.
 ORDER = "__order"
-_DIGITS = 40
+_DIGITS = 20
 
 
 def natural(name: str | Column) -> Column:
-    """A text that sorts as ``name`` does with its numbers compared as numbers (up to 40 digits)."""
+    """A text that sorts as ``name`` does with its numbers (up to 20 digits) compared as numbers."""
     c = F.col(name) if isinstance(name, str) else name
-    return F.regexp_replace(F.regexp_replace(c, r"(\d+)", "0" * _DIGITS + "$1"), rf"\d*(\d{{{_DIGITS}}})", "$1")
+    parts = F.split(c, r"(?<=[0-9])(?=[^0-9])|(?<=[^0-9])(?=[0-9])")
+    padded = F.transform(parts, lambda p: F.when((p >= "0") & (p < ":") & (F.length(p) < _DIGITS), F.lpad(p, _DIGITS, "0")).otherwise(p))
+    return F.array_join(padded, "")
 
 
 def arrival_order(df: DataFrame) -> Column:
-    """Struct of file time (null where the feed has none) and file name, compared field by field."""
+    """Struct of file time (null where the feed has none), folder and file name, compared field
+    by field. Only the name is read for numbers: it is short, and folders are dated or padded."""
     has_time = "_source_file_modified_at" in df.columns
     time = F.col("_source_file_modified_at") if has_time else F.lit(None).cast("timestamp")
-    return F.struct(time.alias("file_time"), natural("_source_file").alias("file"))
+    name = F.substring_index("_source_file", "/", -1)
+    folder = F.left("_source_file", F.length("_source_file") - F.length(name))
+    return F.struct(time.alias("file_time"), folder.alias("folder"), natural(name).alias("file"))
 
 
 def customer_columns() -> list[Column]:

@@ -32,6 +32,7 @@ ORDER_STATUS_TEXT = {"O": " delivered", "F": "Shipped ", "P": "pending"}
 BAD_AMOUNT_TEXT = "n/a"
 BAD_DATE_TEXT = "2024-02-30"
 BAD_QUANTITY_JSON = "2.5"
+RANK_BINS = (1 << 44,)  # 200 days: most keys have one or a few bins
 TEXT_AFTER = ' {"note":"resent"}'
 SENT_TWICE = '{"region":"UNKNOWN",'
 
@@ -248,7 +249,7 @@ def json_lines(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     silver = df.select(*SILVER_COLUMNS[entity](), "_ingested_at", "__j")
     payload = [c for c in silver.columns if c not in (key, "_ingested_at", "__j")]
     keyed = rank_within_key(
-        silver.filter(F.col(key).isNotNull()), [key], ["_ingested_at", *payload]
+        silver.filter(F.col(key).isNotNull()), [key], ["_ingested_at", *payload], widths=RANK_BINS
     )
     keyless = silver.filter(F.col(key).isNull()).withColumn("__rank", F.lit(1))
     ranked = keyed.select("__rank", "__j").unionByName(keyless.select("__rank", "__j"))

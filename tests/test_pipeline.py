@@ -161,9 +161,9 @@ def test_ties_go_by_file_time_then_natural_file_order(spark, scratch):
 def test_names_sort_with_their_numbers(spark):
     from layerkit.functions.clean import natural
 
-    names = ["a/orders_9.json", "a/orders_10.json", "a/orders_100.json", "a/x", "b2/1.json", "b10/0.json", "b10/00.json"]
+    names = ["orders_9.json", "orders_10.json", "orders_100.json", "x", "x0.json", "x00.json"]
     df = spark.createDataFrame([(n,) for n in names], "n string")
-    assert [r.n for r in df.orderBy(natural("n"), "n").collect()] == [*names[:5], "b10/0.json", "b10/00.json"]
+    assert [r.n for r in df.orderBy(natural("n"), "n").collect()] == names
 
 
 def test_bounded_batches_archive_and_a_batch_that_fails(spark, scratch):
