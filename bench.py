@@ -78,8 +78,8 @@ def main() -> None:
         schema = f"bench_{kind}_{target_dir.rsplit('-', 1)[-1]}"
         ensure_schema(spark, schema, f"{target_dir}/db")
         feed = Q.silver(spark, sf_dir, entity)
-        for name, rows in (("first", feed.filter(first)), ("second", feed.filter(~first))):
-            rows.write.parquet(f"{target_dir}/{name}")
+        for name, part in (("first", feed.filter(first)), ("second", feed.filter(~first))):
+            part.write.parquet(f"{target_dir}/{name}")
         target = Target(f"{schema}.t", f"{target_dir}/t", (entity[:-1] + "_id",), kind, "_ingested_at", ("_source_file",))
         apply_changes(spark, target, spark.read.parquet(f"{target_dir}/first"))
         t0 = time.perf_counter()
