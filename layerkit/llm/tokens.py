@@ -1,12 +1,14 @@
-"""Token ids of whole texts inside tasks, with the ids of repeated words looked up.
-
-Both tokenizers split a text into pre-tokens before they merge anything, and a single space
-between two non-space characters always starts a new pre-token (byte level) or is dropped
-(word level). So a text may be cut at such spaces and each part encoded on its own: the ids
-of the text are the ids of its parts one after the other. ``TextEncoder`` keeps the ids of
-the parts it has met, as little-endian unsigned 32-bit bytes; a part it has not met is cut
-once more into runs of letters, digits or punctuation, and only unknown runs reach the
-tokenizer. Parts that are not made of such runs alone are given to the tokenizer whole.
+"""Token ids of whole texts inside tasks, with the ids of repeated pieces looked up.
+
+Both tokenizers split a text into pieces (words with the space before them, digits, runs of
+punctuation, contractions) before they merge anything, so the ids of a text are the ids of its
+pieces one after the other. ``TextEncoder`` finds the pieces of a text by one pattern over
+characters whose class is plain (letters up to Latin Extended-A, digits, common punctuation,
+single spaces and line ends) and keeps the ids of those it has met, as little-endian unsigned
+32-bit bytes; only pieces not met before reach the tokenizer. A text with anything else in it
+(other scripts, other white space, two spaces in a row) is cut at single spaces between
+non-space characters, where a piece always ends, and each part that is not plain is given to
+the tokenizer as it stands.
 """
 
 from __future__ import annotations
@@ -18,12 +20,16 @@ from collections.abc import Iterator
 
 import numpy as np
 
-# letters of ASCII and Latin-1, digits, punctuation without the apostrophe (contractions), line ends
-_RUN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+|[0-9]+|[!-&(-/:-@\[-`{-~]+|\n")
-_PLAIN = re.compile(rf"(?:{_RUN.pattern})+\Z")
+_LETTERS = "A-Za-zÀ-ÖØ-öø-\u017f"
+_MARKS = "!-/:-@\\[-`{-~¡-©«¬®-±´¶-¸»¿×÷\u2010-\u2027\u2030-\u205e"
+_PARTS_OF_WORDS = "'(?:[stmd]|re|ve|ll)"
+# byte level: a space belongs to what follows it; a run of line ends is one match, plain only if single
+_SPACED = rf"{_PARTS_OF_WORDS}| ?[{_LETTERS}]+| ?[0-9]+| ?[{_MARKS}]+|\n"
+# word level: white space is dropped, each digit is a piece
+_BARE = rf"{_PARTS_OF_WORDS}|[{_LETTERS}]+|[0-9]|[{_MARKS}]+"
 _OTHER_SPACE = [chr(i) for i in range(0x3001) if chr(i).isspace() and chr(i) != " "]
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-_JOINED = 64  # runs given to the tokenizer in one string
+_JOINED = 64  # pieces given to the tokenizer in one string
 
 
 def _odd_space(text: str) -> bool:
@@ -36,8 +42,8 @@ def _odd_space(text: str) -> bool:
 class TextEncoder:
     """Ids of texts under one tokenizer file, without special tokens.
 
-    ``keep``: after so many parts (and so many runs) the memory turns over: the older half is
-    forgotten but for what is met again. So it stays bounded on any vocabulary.
+    ``keep``: after so many pieces (and so many odd parts) the memory turns over: the older half
+    is forgotten but for what is met again. So it stays bounded on any vocabulary.
     """
 
     def __init__(self, path: str, keep: int = 300_000):
@@ -49,27 +55,62 @@ class TextEncoder:
         self.keep = keep
         vocab = self.tok.get_vocab(with_added_tokens=True)
         self.by_spaces = "Ġthe" in vocab  # byte level: the space belongs to the word after it
+        plain = _SPACED if self.by_spaces else _BARE
+        self.is_plain = re.compile(plain).fullmatch
+        # what is not plain is found as well, as a piece whose ids are never kept
+        self.find = re.compile(rf"\n\n+|{plain}|(?s:.)" if self.by_spaces else rf"{plain}|[^ \n\t\r]").findall
         top = max(vocab.values()) + 1
         self.first_of_run = np.zeros(top, bool)
         for token, i in vocab.items():
             self.first_of_run[i] = token.startswith("Ġ") if self.by_spaces else token.endswith("</w>")
+        self.line_end = vocab.get("Ċ")
+        self.pieces: dict[str, bytes] = {}
+        self.older_pieces: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
-        self.runs: dict[str, bytes] = {}
         self.older_parts: dict[str, bytes] = {}
-        self.older_runs: dict[str, bytes] = {}
 
     # -- whole texts ---------------------------------------------------------------------
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text (null: none) as little-endian unsigned 32-bit bytes."""
         gc.disable()  # many small objects, no cycles: collecting would take most of the time
         try:
-            cut = [self._cut(t) if t else [] for t in texts]
-            self._learn(set().union(*cut))
-            get = self.parts.__getitem__
-            return [b"".join(map(get, parts)) for parts in cut]
+            found = [self._pieces(t) if t else [] for t in texts]
+            self._learn(set().union(*found))
+            get = self.pieces.__getitem__
+            out, odd = [], []
+            for i, pieces in enumerate(found):
+                try:
+                    out.append(b"".join(map(get, pieces)))
+                except KeyError:
+                    out.append(b"")
+                    odd.append(i)
+            for i, ids in zip(odd, self._by_parts([texts[i] for i in odd])):
+                out[i] = ids
+            return out
         finally:
             gc.enable()
 
+    def _pieces(self, text: str) -> list[str]:
+        return self.find(text if self.by_spaces else text.lower())
+
+    # -- texts with odd characters -------------------------------------------------------
+    def _by_parts(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts whose plain pieces are known, part by part."""
+        if not texts:
+            return []
+        cut = [self._cut(t) for t in texts]
+        if len(self.parts) > self.keep:
+            self.older_parts, self.parts = self.parts, {}
+        odd = []
+        for part in self._recall(set().union(*cut), self.parts, self.older_parts):
+            try:
+                self.parts[part] = b"".join(map(self.pieces.__getitem__, self._pieces(self._text_of(part))))
+            except KeyError:
+                odd.append(part)
+        for part, ids in zip(odd, self._library([self._text_of(p) for p in odd])):
+            self.parts[part] = ids
+        return [b"".join(map(self.parts.__getitem__, parts)) for parts in cut]
+
     def _cut(self, text: str) -> list[str]:
         if not self.by_spaces:
             return text.replace("\n", " ").split(" ")
@@ -78,98 +119,65 @@ class TextEncoder:
         parts[0] = " " + parts[0]
         return parts
 
-    # -- parts ---------------------------------------------------------------------------
-    def _learn(self, parts: set[str]) -> None:
-        """Remember the ids of ``parts``."""
-        if len(self.parts) > self.keep:  # between two calls of encode, so nothing in use is lost
-            self.older_parts, self.parts = self.parts, {}
-        if len(self.runs) > self.keep:
-            self.older_runs, self.runs = self.runs, {}
-        new = self._recall(parts, self.parts, self.older_parts)
-        if not new:
-            return
-        plain, odd = [], []
-        for p in new:
-            if p.isascii() and p.isalpha():  # a single run of letters
-                plain.append((p, (" " + p,) if self.by_spaces else (p.lower(),)))
-                continue
-            body = p[1:] if p[:1] == " " and self.by_spaces else p
-            if not body:
-                self.parts[p] = b""
-            elif _PLAIN.match(body) and not ("\n" in body and self._odd_line_ends(body)):
-                plain.append((p, self._run_keys(p)))
-            else:
-                odd.append(p)
-        self._learn_runs({r for _, runs in plain for r in runs})
-        get = self.runs.__getitem__
-        for p, runs in plain:
-            self.parts[p] = get(runs[0]) if len(runs) == 1 else b"".join(map(get, runs))
-        if odd:
-            # the key of a first part stands for the text without a space, any other for " " + part
-            texts = [(p[1:] if p[:1] == " " else " " + p) if self.by_spaces else p for p in odd]
-            for p, e in zip(odd, self.tok.encode_batch_fast(texts, add_special_tokens=False)):
-                self.parts[p] = np.asarray(e.ids, "<u4").tobytes()
+    def _text_of(self, part: str) -> str:
+        """What a part stands for: byte-level parts but the first have a space before them."""
+        if not self.by_spaces:
+            return part
+        return part[1:] if part[:1] == " " else " " + part
+
+    def _library(self, texts: list[str]) -> list[bytes]:
+        if not texts:
+            return []
+        encoded = self.tok.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.asarray(e.ids, "<u4").tobytes() for e in encoded]
 
+    # -- pieces --------------------------------------------------------------------------
     @staticmethod
-    def _recall(wanted: set[str], now: dict[str, bytes], older: dict[str, bytes]) -> set[str]:
+    def _recall(wanted: set[str], now: dict[str, bytes], older: dict[str, bytes]) -> list[str]:
         """Take what the older half knows into ``now``; returns what neither knows."""
-        new = wanted - now.keys()
-        met = new & older.keys()
-        if met:
-            now.update(zip(met, map(older.__getitem__, met)))
-            new -= met
+        new = []
+        for p in wanted.difference(now):
+            ids = older.get(p)
+            if ids is None:
+                new.append(p)
+            else:
+                now[p] = ids
         return new
 
-    @staticmethod
-    def _odd_line_ends(part: str) -> bool:
-        return part[0] == "\n" or part[-1] == "\n" or "\n\n" in part
-
-    def _run_keys(self, part: str) -> list[str]:
-        """Runs of a part; a byte-level run that follows a space has it before it."""
+    def _learn(self, pieces: set[str]) -> None:
+        """Remember the ids of the plain ones of ``pieces``."""
+        if len(self.pieces) > self.keep:  # between two calls of encode, so nothing in use is lost
+            self.older_pieces, self.pieces = self.pieces, {}
+        new = [p for p in self._recall(pieces, self.pieces, self.older_pieces) if self.is_plain(p)]
         if not self.by_spaces:
-            out = []
-            for r in _RUN.findall(part):
-                out.extend(r if r[0] in "0123456789" else (r.lower(),))  # each digit is its own pre-token
-            return out
-        if part[:1] == " ":
-            return _RUN.findall(part[1:])
-        runs = _RUN.findall(part)
-        runs[0] = " " + runs[0]
-        return runs
-
-    def _learn_runs(self, runs: set[str]) -> None:
-        new = sorted(self._recall(runs, self.runs, self.older_runs))
-        if self.by_spaces:
-            spaced = [r for r in new if r[0] == " "]
-            bare = [r for r in new if r[0] != " "]
-            strings = ["".join(spaced[i:i + _JOINED]) for i in range(0, len(spaced), _JOINED)]
-            self._split_runs(spaced, strings)
-            for r, e in zip(bare, self.tok.encode_batch_fast(bare, add_special_tokens=False) if bare else []):
-                self.runs[r] = np.asarray(e.ids, "<u4").tobytes()
-        else:
-            strings = [" ".join(new[i:i + _JOINED]) for i in range(0, len(new), _JOINED)]
-            self._split_runs(new, strings)
-
-    def _split_runs(self, runs: list[str], strings: list[str]) -> None:
-        """Encode joined runs and cut the ids where a run starts (byte level) or ends (word level)."""
-        if not runs:
+            self._learn_joined(new, " ")
             return
-        done = 0
-        for e in self.tok.encode_batch_fast(strings, add_special_tokens=False):
+        self._learn_joined([p for p in new if p[0] == " "], "")
+        self._learn_joined([p for p in new if p[0] not in " \n"], "\n")
+        if "\n" in pieces:
+            self.pieces["\n"] = np.asarray([self.line_end], "<u4").tobytes()
+
+    def _learn_joined(self, new: list[str], between: str) -> None:
+        """Encode pieces many to a string, and cut its ids where a piece starts or ends."""
+        groups = [new[i:i + _JOINED] for i in range(0, len(new), _JOINED)]
+        strings = [between.join(g) for g in groups]
+        for group, e in zip(groups, self.tok.encode_batch_fast(strings, add_special_tokens=False) if new else []):
             ids = np.asarray(e.ids, "<u4")
-            marks = np.flatnonzero(self.first_of_run[ids])
-            cuts = marks if self.by_spaces else np.concatenate(([0], marks[:-1] + 1))
-            ends = np.append(cuts[1:], len(ids))
-            here = runs[done:done + _JOINED]
-            if len(cuts) != len(here):  # a run of an unexpected shape: one by one
-                for r in here:
-                    one = self.tok.encode(r, add_special_tokens=False).ids
-                    self.runs[r] = np.asarray(one, "<u4").tobytes()
-            else:
+            if between == "\n":  # a line end between two pieces
+                marks = np.flatnonzero(ids == self.line_end)
+                starts, ends = np.append(0, marks + 1), np.append(marks, len(ids))
+            elif self.by_spaces:  # the first id of a piece starts with its space
+                starts = np.flatnonzero(self.first_of_run[ids])
+                ends = np.append(starts[1:], len(ids))
+            else:  # the last id of a piece ends a word
+                ends = np.flatnonzero(self.first_of_run[ids]) + 1
+                starts = np.append(0, ends[:-1])
+            if len(starts) == len(group):
                 raw = ids.tobytes()
-                for r, a, b in zip(here, cuts.tolist(), ends.tolist()):
-                    self.runs[r] = raw[4 * a:4 * b]
-            done += len(here)
+                for p, a, b in zip(group, (4 * starts).tolist(), (4 * ends).tolist()):
+                    self.pieces[p] = raw[a:b]
+            else:  # a piece of an unexpected shape: one by one
+                self.pieces.update(zip(group, self._library(group)))
 
 
 def public_tokenizer(name: str) -> str:

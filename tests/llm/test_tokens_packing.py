@@ -9,7 +9,10 @@ from layerkit.llm.tokens import TextEncoder, public_tokenizer
 
 BYTES, WORDS = public_tokenizer("byte_bpe_50k.json"), public_tokenizer("word_bpe_49k.json")
 ENCODERS = {p: TextEncoder(p, keep=50) for p in (BYTES, WORDS)}
-TEXTS = st.text(st.sampled_from("abcZ é ñß'\n\t  .,!0123<|>_-日　̈"), max_size=60) | st.text(max_size=40)
+WORDS_AND_GAPS = st.lists(st.sampled_from([
+    "the", "don't", "I'LL", " it's", "café", "A.B", "x'y", "\n", "\n\n", " \n", "3.14", "²", "—", "’s", "…", "日本", " ", "İ", "a\tb",
+]), max_size=12).map("".join)
+TEXTS = WORDS_AND_GAPS | st.text(st.sampled_from("abcZ é ñß'\n\t  .,!0123<|>_-日　̈"), max_size=60) | st.text(max_size=40)
 
 
 @given(st.lists(TEXTS, max_size=6))
