@@ -3,13 +3,13 @@
 Every rule looks at counts of the whole text and says good (1), bad (-1) or nothing (0). How
 far each rule is to be believed is not set by hand: expectation-maximisation over all
 documents estimates, per rule, how often it votes either way on good and on bad documents,
-and the share of good ones. A document is kept where its posterior probability of being good
+and the share of good ones; documents with a label hold their class in it. A document is kept where its posterior probability of being good
 reaches ``threshold``; so one vote of a rule that hardly ever errs can outweigh several of
 rules that say good to nearly everything, and no rule alone has to pass.
 
 Scale: the votes of a document are one of 3^rules patterns. Spark counts the patterns (a
-partial aggregate, so hot patterns cost nothing) and only these counts, at most 3^8 rows
-whatever the input, reach the driver, where the iterations run. The posterior goes back as a
+partial aggregate, so hot patterns cost nothing) and only these counts, at most 3^8 rows by
+label whatever the input, reach the driver, where the iterations run. The posterior goes back as a
 column expression with the estimated numbers as literals: no join, no second shuffle.
 """
 
@@ -156,38 +156,79 @@ class VoteModel:
         return total
 
 
-def fit(counts: dict[int, int], n_rules: int, rounds: int = 100, false_alarms: float = 0.001) -> VoteModel:
-    """Expectation-maximisation over pattern counts; an empty input keeps the starting model.
+def fit(
+    counts: dict[int, float], n_rules: int, anchors: dict[int, tuple[float, float]] | None = None,
+    false_alarms: float = 0.001, tolerance: float = 1e-9,
+) -> VoteModel:
+    """Expectation-maximisation over pattern counts, until nothing changes by ``tolerance``.
 
-    Starts from: nine in ten are good; rules are written to spare good documents (99.9 %) and
-    each is about one kind of bad document (a quarter of them). One vote of each kind is
-    added, so no chance reaches 0 or 1. Kinds of bad documents exclude each other, so most
-    rules call any bad document good; ``false_alarms`` bounds the share of good documents a
-    rule may be estimated to call bad, which keeps a kind that only one rule sees from
-    passing for good.
+    ``counts``: documents of unknown class by pattern. ``anchors``: documents whose class is
+    known, (bad, good) by pattern. They start the iteration, keep their class in every round, and
+    count like any other, so each rule's accuracy on either class is estimated from the data
+    alone, with one vote of each kind added (no chance reaches 0 or 1).
+
+    Without an anchor of each class the votes do not tell the classes apart: kinds of bad
+    documents exclude each other, so most rules call any bad document good, and a kind that
+    only one rule sees would be counted among the good. Then the iteration starts from rules
+    that find a quarter of the bad documents, and ``false_alarms`` bounds the share of good
+    documents that a rule may be estimated to call bad. An empty input keeps that start.
     """
-    right, good = np.stack([np.full(n_rules, 0.25), np.full(n_rules, 1 - false_alarms)]), 0.9
-    if counts:
-        keys = np.array(sorted(counts))
-        n = np.array([counts[k] for k in keys], float)
-        digits = keys[:, None] // 3 ** np.arange(n_rules) % 3
-        bad_vote, good_vote = digits == 0, digits == 2
-        for _ in range(rounds):
-            against, in_favour = np.log((1 - right[1]) / right[0]), np.log(right[1] / (1 - right[0]))
-            odds = bad_vote @ against + good_vote @ in_favour + np.log(good / (1 - good))
-            post = 1 / (1 + np.exp(-np.clip(odds, -60, 60)))
-            is_bad, is_good = n * (1 - post), n * post
-            right = np.stack([
-                (is_bad @ bad_vote + 1) / (is_bad @ (bad_vote | good_vote) + 2),
-                np.maximum((is_good @ good_vote + 1) / (is_good @ (bad_vote | good_vote) + 2), 1 - false_alarms),
-            ])
-            good = float((is_good.sum() + 1) / (n.sum() + 2))
+    keys = np.array(sorted(set(counts) | set(anchors or {})), np.int64)
+    n = np.array([counts.get(int(k), 0) for k in keys], float)
+    known = np.array([(anchors or {}).get(int(k), (0, 0)) for k in keys], float).reshape(-1, 2)
+    anchored = bool(known.sum(axis=0).all()) if len(keys) else False
+    digits = keys[:, None] // 3 ** np.arange(n_rules) % 3
+    bad_vote, good_vote = (digits == 0).astype(float), (digits == 2).astype(float)
+
+    def estimate(is_bad: np.ndarray, is_good: np.ndarray) -> tuple[np.ndarray, float]:
+        on_bad = (is_bad @ bad_vote + 1) / (is_bad @ (bad_vote + good_vote) + 2)
+        on_good = (is_good @ good_vote + 1) / (is_good @ (bad_vote + good_vote) + 2)
+        if not anchored:
+            on_good = np.maximum(on_good, 1 - false_alarms)
+        return np.stack([on_bad, on_good]), float((is_good.sum() + 1) / (is_bad.sum() + is_good.sum() + 2))
+
+    if anchored:
+        right, good = estimate(known[:, 0], known[:, 1])
+    else:
+        right, good = np.stack([np.full(n_rules, 0.25), np.full(n_rules, 1 - false_alarms)]), 0.9
+    moved = np.inf if len(keys) else 0.0
+    while moved > tolerance:
+        against, in_favour = np.log((1 - right[1]) / right[0]), np.log(right[1] / (1 - right[0]))
+        odds = bad_vote @ against + good_vote @ in_favour + np.log(good / (1 - good))
+        post = 1 / (1 + np.exp(-np.clip(odds, -60, 60)))
+        before = right, good
+        right, good = estimate(known[:, 0] + n * (1 - post), known[:, 1] + n * post)
+        moved = max(float(np.abs(right - before[0]).max()), abs(good - before[1]))
     return VoteModel(good, tuple(tuple(map(float, c)) for c in right))
 
 
+def _tallies(
+    voted: DataFrame, pattern: str, id_col: str, labels: DataFrame | None,
+) -> tuple[dict[int, float], dict[int, tuple[float, float]]]:
+    """(pattern counts of unlabelled documents, (bad, good) counts of labelled ones).
+
+    At most three rows a pattern leave Spark. A document whose label rows disagree is unlabelled."""
+    if labels is None:
+        return {r[0]: r[1] for r in voted.groupBy(pattern).count().collect()}, {}
+    known = labels.select(F.col(labels.columns[0]).alias("label_id"), F.col(labels.columns[1]).cast("boolean").alias("label"))
+    known = known.filter("label_id is not null and label is not null").groupBy("label_id").agg(
+        F.min("label").alias("label"), F.max("label").alias("other"))
+    known = known.filter("label = other").drop("other")
+    narrow = voted.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{pattern}`").alias("pattern"))
+    rows = narrow.join(known, F.col("id") == F.col("label_id"), "left").groupBy("pattern", "label").count().collect()
+    counts, anchors = {}, {}
+    for p, label, n in rows:
+        if label is None:
+            counts[p] = n
+        else:
+            bad, good = anchors.get(p, (0, 0))
+            anchors[p] = (bad, good + n) if label else (bad + n, good)
+    return counts, anchors
+
+
 def judged(
     docs: DataFrame, text_col: str = "text", rules: Sequence[Rule] = RULES, threshold: float = 0.5,
-    keep: Sequence[str] | None = None,
+    keep: Sequence[str] | None = None, labels: DataFrame | None = None, id_col: str = "doc_id",
 ) -> DataFrame:
     """``docs`` (columns ``keep``, default all) with a struct column ``quality``.
 
@@ -196,6 +237,10 @@ def judged(
     else ``good`` >= threshold). The struct's name gets an underscore where it is taken.
     Null and empty texts fail the base; a null in any other column changes nothing; repeated
     rows get equal verdicts; an empty table gives an empty result.
+
+    ``labels``: rows (id, 1 for good or 0 for bad) that anchor the estimate; all are used, ids
+    are those of ``id_col`` (which ``keep`` must hold then). Without them see ``fit``. A label
+    changes no verdict but through the estimated accuracies.
     """
     columns = list(docs.columns if keep is None else keep)
     seen = with_features(docs, text_col)
@@ -203,8 +248,8 @@ def judged(
     pattern = free_name(seen, "pattern")
     # one pass over the texts; what follows reads this table
     table = stored(seen.select(*[F.col(f"`{c}`") for c in columns], features).withColumn(pattern, votes(features, rules)), "quality")
-    counted = table.groupBy(pattern).count().collect()  # at most 3^rules rows
-    model = fit({r[0]: r[1] for r in counted}, len(rules))
+    counts, anchors = _tallies(table, pattern, id_col, labels)
+    model = fit(counts, len(rules), anchors)
     f = F.col(features)
     base_failed = (f["n_words"] < 20) | (100 * f["n_repeat_words"] > 30 * f["n_words"])
     good = 1 / (1 + F.exp(-model.log_odds(F.col(pattern))))

@@ -66,8 +66,9 @@ def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts, base check and verdict of every document."""
-    q = quality_votes.judged(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    """Counts, base check and verdict of every document; the labelled ones anchor the estimate."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    q = quality_votes.judged(table(spark, sf_dir, "documents"), keep=["doc_id"], labels=labels)
     f = F.col("quality.features")
     return q.select(
         "doc_id", *[f[c].alias(c) for c in quality_votes.BASE], "quality.base_failed", "quality.kept",
