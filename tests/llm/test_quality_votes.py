@@ -1,4 +1,3 @@
-import math
 import random
 import re
 from collections import Counter
@@ -64,102 +63,6 @@ def test_fit_estimates_accuracies():
         assert abs(m.right[0][j] - b) < 0.03
 
 
-def drawn(n, right, good, seed):
-    """(pattern, class) of documents whose rules vote independently with the given accuracies."""
-    r = random.Random(seed)
-    for _ in range(n):
-        c = r.random() < good
-        p = 0
-        for j, (b, g) in enumerate(right):
-            said_good = r.random() < (g if c else 1 - b)
-            p += (2 if said_good else 0) * 3**j if r.random() < 0.9 else 3**j
-        yield p, c
-
-
-def brute_fit(rows, n_rules):
-    """Document by document, with plain loops: (pattern, class or None)."""
-    known = [(p, c) for p, c in rows if c is not None]
-
-    def estimate(weighed):  # (pattern, chance of good)
-        right = [[0.0] * n_rules, [0.0] * n_rules]
-        for j in range(n_rules):
-            for c in (0, 1):
-                hits, voted = 1.0, 2.0
-                for p, w in weighed:
-                    digit, mass = p // 3**j % 3, w if c else 1 - w
-                    if digit != 1:
-                        voted += mass
-                        hits += mass if digit == 2 * c else 0
-                right[c][j] = hits / voted
-        return right, (sum(w for _, w in weighed) + 1) / (len(weighed) + 2)
-
-    def posterior(p, right, good):
-        a, b = good, 1 - good
-        for j in range(n_rules):
-            digit = p // 3**j % 3
-            if digit != 1:
-                a *= right[1][j] if digit == 2 else 1 - right[1][j]
-                b *= right[0][j] if digit == 0 else 1 - right[0][j]
-        return a / (a + b)
-
-    right, good = estimate([(p, float(c)) for p, c in known])
-    for _ in range(400):
-        right, good = estimate([(p, float(c) if c is not None else posterior(p, right, good)) for p, c in rows])
-    return right, good
-
-
-def tallied(rows):
-    counts, anchors = Counter(p for p, c in rows if c is None), {}
-    for p, c in rows:
-        if c is not None:
-            bad, good = anchors.get(p, (0, 0))
-            anchors[p] = (bad, good + 1) if c else (bad + 1, good)
-    return dict(counts), anchors
-
-
-def test_anchored_fit_against_brute_force():
-    rows = [(p, c if i % 4 == 0 else None) for i, (p, c) in enumerate(drawn(400, [(0.6, 0.9), (0.7, 0.95), (0.5, 0.8)], 0.7, 3))]
-    counts, anchors = tallied(rows)
-    m = Q.fit(counts, 3, anchors)
-    right, good = brute_fit(rows, 3)
-    assert abs(m.good - good) < 1e-6
-    assert all(abs(x - y) < 1e-6 for c in (0, 1) for x, y in zip(m.right[c], right[c]))
-
-
-def test_accuracies_are_estimated_and_a_poor_rule_is_outvoted():
-    """Rule 0 calls 30 % of the good documents bad, rule 1 hardly any."""
-    right = [(0.4, 0.7), (0.6, 0.999), (0.5, 0.99), (0.5, 0.99)]
-    rows = [(p, c if i % 10 == 0 else None) for i, (p, c) in enumerate(drawn(40_000, right, 0.85, 4))]
-    counts, anchors = tallied(rows)
-    m = Q.fit(counts, 4, anchors)
-    assert abs(m.good - 0.85) < 0.02
-    for j, (b, g) in enumerate(right):
-        assert abs(m.right[0][j] - b) < 0.04 and abs(m.right[1][j] - g) < 0.01
-
-    def odds(pattern):
-        total = math.log(m.good / (1 - m.good))
-        for j, (b, g) in enumerate(zip(*m.right)):
-            total += {0: math.log((1 - g) / b), 1: 0, 2: math.log(g / (1 - b))}[pattern // 3**j % 3]
-        return total
-
-    all_good = 2 * (1 + 3 + 9 + 27)
-    assert odds(all_good) > 0 and odds(all_good - 2) > 0 > odds(all_good - 2 * 3)
-
-
-def test_labels_anchor_the_verdicts(spark, make_docs):
-    """Prose in capitals is good where the labels say so, and bad where they say that."""
-    docs = make_docs(corpus())
-    for said in (0, 1):
-        labels = [(i, 1) for i in range(0, 400, 2)] + [(1000 + i, 0) for i in range(30)] + [(3000 + i, 0) for i in range(30)]
-        labels += [(2000 + i, said) for i in range(0, 30, 2)] + [(2001, 0), (2001, 1), (None, 1), (5, None), (99_999, 0)]
-        got = Q.judged(docs, labels=spark.createDataFrame(labels, "id long, quality int")).collect()
-        kept = Counter((x.doc_id // 1000, x.quality.kept) for x in got)
-        assert kept[(0, True)] == 400 and kept[(1, False)] == kept[(3, False)] == 30
-        assert kept[(2, bool(said))] == 30
-    none = spark.createDataFrame([], "id long, quality int")
-    assert [x.quality.kept for x in Q.judged(docs, labels=none).collect()] == [x.quality.kept for x in Q.judged(docs).collect()]
-
-
 def test_odd_rows_and_empty_table(make_docs, odd):
     rows = Q.judged(make_docs(odd, clashing=True)).collect()
     assert len(rows) == len(odd)
