@@ -8,8 +8,8 @@ reaches ``threshold``; so one vote of a rule that hardly ever errs can outweigh
 rules that say good to nearly everything, and no rule alone has to pass.
 
 Scale: the votes of a document are one of 3^rules patterns. Spark counts the patterns (a
-partial aggregate, so hot patterns cost nothing) and only these counts, at most 3^8 rows
-whatever the input, reach the driver, where the iterations run. The posterior goes back as a
+partial aggregate, so hot patterns cost nothing) and only these counts, at most 3^8 rows by
+label whatever the input, reach the driver, where the iterations run. The posterior goes back as a
 column expression with the estimated numbers as literals: no join, no second shuffle.
 """
 
@@ -19,6 +19,8 @@ import math
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -156,6 +158,28 @@ class VoteModel:
         return total
 
 
+@dataclass(frozen=True)
+class KindModel:
+    """Good documents (class 0) and one class per kind of bad ones.
+
+    ``shares[c]``: share of class c; ``bad[c][j]``: chance that rule j votes bad there, if it votes."""
+
+    shares: tuple
+    bad: tuple
+
+    def log_odds(self, pattern: Column) -> Column:
+        """Log-odds of good for a column of pattern numbers."""
+        def log_chance(c: int) -> Column:
+            total: Column = F.lit(math.log(self.shares[c]))
+            for j, b in enumerate(self.bad[c]):
+                digit = F.pmod(F.floor(pattern / F.lit(3**j)), F.lit(3))
+                total = total + F.when(digit == 0, math.log(b)).when(digit == 2, math.log(1 - b)).otherwise(0.0)
+            return total
+
+        kinds = [F.exp(log_chance(c)) for c in range(1, len(self.shares))]
+        return log_chance(0) - F.log(reduce(add, kinds))
+
+
 def fit(counts: dict[int, int], n_rules: int, rounds: int = 100, false_alarms: float = 0.001) -> VoteModel:
     """Expectation-maximisation over pattern counts; an empty input keeps the starting model.
 
@@ -185,9 +209,69 @@ def fit(counts: dict[int, int], n_rules: int, rounds: int = 100, false_alarms: f
     return VoteModel(good, tuple(tuple(map(float, c)) for c in right))
 
 
+def fit_kinds(
+    counts: dict[int, int], anchors: dict[int, tuple[int, int]], n_rules: int, tolerance: float = 1e-9,
+) -> KindModel:
+    """Expectation-maximisation where some documents are labelled, until nothing moves by ``tolerance``.
+
+    ``counts``: unlabelled documents by pattern; ``anchors``: labelled ones, (bad, good) by pattern.
+    Kinds of bad documents exclude each other: one that a single rule sees is praised by all the
+    others. So every rule starts a kind of its own, which it nearly always finds and the others
+    mostly do not, and good documents start as the labelled ones vote. A good label holds its class in every round, a bad one
+    is shared among the kinds. All chances are estimated, with one vote of each sort added; none is bounded.
+    """
+    keys = np.array(sorted(set(counts) | set(anchors)), np.int64)
+    free = np.array([counts.get(int(k), 0) for k in keys], float)
+    known_bad, known_good = np.array([anchors.get(int(k), (0, 0)) for k in keys], float).T
+    digits = keys[:, None] // 3 ** np.arange(n_rules) % 3
+    bad_vote, good_vote = (digits == 0).astype(float), (digits == 2).astype(float)
+
+    def chances(weight: np.ndarray) -> np.ndarray:
+        return (weight.T @ bad_vote + 1) / (weight.T @ (bad_vote + good_vote) + 2)
+
+    bad = np.full((n_rules + 1, n_rules), 0.05)
+    bad[0] = chances(known_good[:, None])[0]
+    bad[np.arange(n_rules) + 1, np.arange(n_rules)] = 0.9
+    shares = np.append(0.9, np.full(n_rules, 0.1 / n_rules))
+    moved = np.inf
+    while moved > tolerance:
+        joint = np.exp(bad_vote @ np.log(bad).T + good_vote @ np.log(1 - bad).T + np.log(shares))
+        weight = joint / joint.sum(axis=1, keepdims=True) * free[:, None]
+        weight[:, 0] += known_good
+        weight[:, 1:] += joint[:, 1:] / joint[:, 1:].sum(axis=1, keepdims=True) * known_bad[:, None]
+        before = bad, shares
+        bad, shares = chances(weight), (weight.sum(axis=0) + 1) / (weight.sum() + n_rules + 1)
+        moved = max(float(np.abs(bad - before[0]).max()), float(np.abs(shares - before[1]).max()))
+    return KindModel(tuple(map(float, shares)), tuple(tuple(map(float, c)) for c in bad))
+
+
+def _tallies(
+    voted: DataFrame, pattern: str, id_col: str, labels: DataFrame | None,
+) -> tuple[dict[int, int], dict[int, tuple[int, int]]]:
+    """(pattern counts of unlabelled documents, (bad, good) counts of labelled ones).
+
+    At most three rows a pattern leave Spark. A document whose label rows disagree is unlabelled."""
+    if labels is None:
+        return {r[0]: r[1] for r in voted.groupBy(pattern).count().collect()}, {}
+    known = labels.select(F.col(labels.columns[0]).alias("label_id"), F.col(labels.columns[1]).cast("boolean").alias("label"))
+    known = known.filter("label_id is not null and label is not null").groupBy("label_id").agg(
+        F.min("label").alias("label"), F.max("label").alias("other"))
+    known = known.filter("label = other").drop("other")
+    narrow = voted.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{pattern}`").alias("pattern"))
+    rows = narrow.join(known, F.col("id") == F.col("label_id"), "left").groupBy("pattern", "label").count().collect()
+    counts, anchors = {}, {}
+    for p, label, n in rows:
+        if label is None:
+            counts[p] = n
+        else:
+            bad, good = anchors.get(p, (0, 0))
+            anchors[p] = (bad, good + n) if label else (bad + n, good)
+    return counts, anchors
+
+
 def judged(
     docs: DataFrame, text_col: str = "text", rules: Sequence[Rule] = RULES, threshold: float = 0.5,
-    keep: Sequence[str] | None = None,
+    keep: Sequence[str] | None = None, labels: DataFrame | None = None, id_col: str = "doc_id",
 ) -> DataFrame:
     """``docs`` (columns ``keep``, default all) with a struct column ``quality``.
 
@@ -196,6 +280,10 @@ def judged(
     else ``good`` >= threshold). The struct's name gets an underscore where it is taken.
     Null and empty texts fail the base; a null in any other column changes nothing; repeated
     rows get equal verdicts; an empty table gives an empty result.
+
+    ``labels``: rows (id, 1 for good or 0 for bad) for ``fit_kinds``; all are used, ids are those
+    of ``id_col`` (which ``keep`` must hold then). Where no document of one class is labelled,
+    ``fit`` estimates without them. A label changes verdicts through the estimate alone.
     """
     columns = list(docs.columns if keep is None else keep)
     seen = with_features(docs, text_col)
@@ -203,8 +291,14 @@ def judged(
     pattern = free_name(seen, "pattern")
     # one pass over the texts; what follows reads this table
     table = stored(seen.select(*[F.col(f"`{c}`") for c in columns], features).withColumn(pattern, votes(features, rules)), "quality")
-    counted = table.groupBy(pattern).count().collect()  # at most 3^rules rows
-    model = fit({r[0]: r[1] for r in counted}, len(rules))
+    counts, anchors = _tallies(table, pattern, id_col, labels)
+    bad, good_ones = (sum(a[c] for a in anchors.values()) for c in (0, 1))
+    if bad and good_ones:
+        model = fit_kinds(counts, anchors, len(rules))
+    else:
+        for p, a in anchors.items():
+            counts[p] = counts.get(p, 0) + sum(a)
+        model = fit(counts, len(rules))
     f = F.col(features)
     base_failed = (f["n_words"] < 20) | (100 * f["n_repeat_words"] > 30 * f["n_words"])
     good = 1 / (1 + F.exp(-model.log_odds(F.col(pattern))))

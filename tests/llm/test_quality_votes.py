@@ -63,6 +63,84 @@ def test_fit_estimates_accuracies():
         assert abs(m.right[0][j] - b) < 0.03
 
 
+def brute_kinds(rows, n_rules, rounds):
+    """Document by document, with plain loops: (pattern, class or None)."""
+    classes = range(n_rules + 1)
+
+    def chances(weighed, c):
+        out = []
+        for j in range(n_rules):
+            said = [(p // 3**j % 3, w[c]) for p, w in weighed]
+            out.append((sum(w for d, w in said if d == 0) + 1) / (sum(w for d, w in said if d != 1) + 2))
+        return out
+
+    good = chances([(p, [1.0]) for p, c in rows if c], 0)
+    bad = [good] + [[0.9 if i == j else 0.05 for i in range(n_rules)] for j in range(n_rules)]
+    shares = [0.9] + [0.1 / n_rules] * n_rules
+    for _ in range(rounds):
+        weighed = []
+        for p, c in rows:
+            joint = list(shares)
+            for k in classes:
+                for j in range(n_rules):
+                    joint[k] *= {0: bad[k][j], 1: 1.0, 2: 1 - bad[k][j]}[p // 3**j % 3]
+            if c is not None:
+                joint = [joint[0]] + [0.0] * n_rules if c else [0.0] + joint[1:]
+            weighed.append((p, [x / sum(joint) for x in joint]))
+        bad = [chances(weighed, k) for k in classes]
+        shares = [(sum(w[k] for _, w in weighed) + 1) / (len(rows) + n_rules + 1) for k in classes]
+    return shares, bad
+
+
+def drawn(n, alarms, seed):
+    """(pattern, class): rule j errs on good documents by ``alarms[j]``; one bad document in ten of each kind."""
+    r, m = random.Random(seed), len(alarms)
+    for _ in range(n):
+        kind = r.randint(0, m - 1) if r.random() < 0.2 else None
+        said_bad = [r.random() < (alarms[j] if kind is None else 0.9 if kind == j else 0.02) for j in range(m)]
+        yield sum((0 if b else 2) * 3**j for j, b in enumerate(said_bad)), kind is None
+
+
+def tallied(rows):
+    anchors = {}
+    for p, c in rows:
+        if c is not None:
+            bad, good = anchors.get(p, (0, 0))
+            anchors[p] = (bad, good + 1) if c else (bad + 1, good)
+    return dict(Counter(p for p, c in rows if c is None)), anchors
+
+
+def test_kinds_against_brute_force():
+    rows = [(p, c if i % 3 == 0 else None) for i, (p, c) in enumerate(drawn(200, [0.1, 0.02, 0.05], 3))]
+    counts, anchors = tallied(rows)
+    m = Q.fit_kinds(counts, anchors, 3, tolerance=1e-6)
+    shares, bad = brute_kinds(rows, 3, 500)
+    assert all(abs(x - y) < 1e-3 for x, y in zip(m.shares, shares))
+    assert all(abs(x - y) < 1e-3 for a, b in zip(m.bad, bad) for x, y in zip(a, b))
+
+
+def test_a_poor_rule_is_outvoted_and_a_good_one_is_not(spark):
+    """Rule 0 calls 40 % of the good documents bad, the others hardly any."""
+    rows = [(p, c if i % 10 == 0 else None) for i, (p, c) in enumerate(drawn(40_000, [0.4, 0.001, 0.001, 0.001], 4))]
+    m = Q.fit_kinds(*tallied(rows), 4)
+    assert abs(m.bad[0][0] - 0.4) < 0.05 and max(m.bad[0][1:]) < 0.01
+    all_good = 2 * (1 + 3 + 9 + 27)
+    patterns = spark.createDataFrame([(all_good,), (all_good - 2,), (all_good - 2 * 3,)], "p int")
+    odds = {r[0]: r[1] for r in patterns.select("p", m.log_odds(patterns.p)).collect()}
+    assert odds[all_good] > 0 and odds[all_good - 2] > 0 > odds[all_good - 6]
+
+
+def test_labels_anchor_the_verdicts(spark, make_docs):
+    docs = make_docs(corpus())
+    labels = [(i, 1) for i in range(0, 400, 2)] + [(1000 + k * 1000 + i, 0) for k in range(3) for i in range(0, 30, 2)]
+    labels += [(2001, 0), (2001, 1), (None, 1), (5, None), (99_999, 0)]
+    got = Q.judged(docs, labels=spark.createDataFrame(labels, "id long, quality int")).collect()
+    kept = Counter((x.doc_id // 1000, x.quality.kept) for x in got)
+    assert kept[(0, True)] == 400 and all(kept[(k, False)] == 30 for k in (1, 2, 3))
+    none = spark.createDataFrame([], "id long, quality int")
+    assert [x.quality.kept for x in Q.judged(docs, labels=none).collect()] == [x.quality.kept for x in Q.judged(docs).collect()]
+
+
 def test_odd_rows_and_empty_table(make_docs, odd):
     rows = Q.judged(make_docs(odd, clashing=True)).collect()
     assert len(rows) == len(odd)
