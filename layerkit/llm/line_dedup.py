@@ -11,8 +11,8 @@ holds them: as a chunk of three, compared like any other. So a repeated run of t
 units goes from its first unit to its last. All repeated chunks but their first occurrence in
 the order of (document id, content hash, place) are removed.
 
-Stages: chunk hashes are counted (combined on the map side) and written down; the places of
-repeated ones go to their documents; there the chunks' bytes are compared: per hash, the
+Stages: chunk hashes and places are written down once and counted (combined on the map side);
+the places of repeated ones go to their documents, which are written down too; there the chunks' bytes are compared: per hash, the
 least and the greatest bytes must be the same (combined on the map side too), so a hash
 collision removes nothing. Texts are shuffled twice, once for the bytes and once for the
 removal; all other rows are hashes and places. No group is gathered: a chunk found in a third
@@ -119,10 +119,10 @@ def remove_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: st
     ).withColumn("k", F.xxhash64("id", "t"))
     texts = base.select("id", "k", "t")
 
-    cut = _cut_chunks(texts)
+    cut = stored(_cut_chunks(texts), "chunks")
     repeated = stored(cut.groupBy("h").count().filter("count > 1").select("h"), "repeated-chunks")
     places = cut.join(repeated, "h").groupBy("k").agg(F.array_sort(F.collect_set("n")).alias("cand"))
-    pieces = _pieces(texts.join(places, "k"))
+    pieces = _pieces(stored(texts.join(places, "k"), "texts-with-repeated-chunks"))
     place = F.struct("id", "k", "n")
     first = pieces.groupBy("h").agg(
         F.min(place).alias("origin"), F.max(place).alias("end"), F.min("c").alias("least"), F.max("c").alias("greatest"))
