@@ -58,9 +58,15 @@ def _together(units: Column) -> Column:
 
 def _worded(units: Column) -> Column:
     """Units with a word: number ``i`` among all, and ``c``, their text without white space at its ends."""
-    bare = F.transform(units, lambda u, i: F.struct(
-        i.alias("i"), F.trim(F.substring(u, 2, 2**31 - 1), F.lit(SPACES)).alias("c")))
-    return F.filter(bare, lambda x: F.length(x["c"]) > 0)
+    def bare(x: Column) -> Column:  # trimming a set of characters is slow; few units need it
+        odd = F.lit(False)
+        for space in SPACES[1:]:
+            odd = odd | x.startswith(space) | x.endswith(space)
+        return F.when(odd, F.trim(x, F.lit(SPACES))).otherwise(x)
+
+    trimmed = F.transform(units, lambda u: F.trim(F.substring(u, 2, 2**31 - 1)))
+    numbered = F.transform(trimmed, lambda x, i: F.struct(i.alias("i"), bare(x).alias("c")))
+    return F.filter(numbered, lambda x: x["c"] != "")
 
 
 def _cut_chunks(docs: DataFrame) -> DataFrame:
