@@ -32,6 +32,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with a column ``name`` that is computed once per row.
+
+    A filter on a projected column moves below the projection with a copy of its expression; it
+    does not move below a generator."""
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c != name], F.explode(F.array(value)).alias(name))
+
+
 def words_of(text: Column) -> Column:
     """Words of a text as an array (null text: no word)."""
     flat = F.translate(F.coalesce(text, F.lit("")), SPACES, " " * len(SPACES))

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, stored, words_of
+from .common import free_name, once, stored, words_of
 
 BASE = 1_000_003
 MODULUS = 2_147_483_647
@@ -71,7 +71,7 @@ def _worded(units: Column) -> Column:
 
 def _cut_chunks(docs: DataFrame) -> DataFrame:
     """(k, n, h) of every chunk of ``docs`` (k, t): worded units n and n + 1."""
-    d = docs.select("k", _worded(_units(F.col("t"))).alias("w"))
+    d = once(docs, "w", _worded(_units(F.col("t"))))  # the filter would compute it again
     d = d.filter(F.size("w") > 1).select("k", F.transform("w", lambda x: F.md5(x["c"])).alias("m"))
     # 32 bits of md5, so that plain SQL can state the same chunks
     d = d.withColumn("a", F.transform("m", lambda m: F.conv(F.substring(m, 1, 8), 16, 10).cast("long")))

@@ -133,3 +133,9 @@ def test_passage_of_a_long_line(make_docs):
     left = {x.doc_id: x.text for x in L.remove_repeated_chunks(docs).collect()}
     assert left[1] == f"Mine it is. {shared}"
     assert left[2] == "Yours it is. And its end.\nnext"
+
+
+def test_units_are_cut_once_for_the_filter_and_the_chunks(spark):
+    docs = spark.createDataFrame([(1, "a\nb\nc"), (2, None), (3, "a")], "k long, t string")
+    plan = L._cut_chunks(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_join(") == 1
