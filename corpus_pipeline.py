@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerkit.llm import line_dedup, mixing, packing, quality_votes, simhash
-from layerkit.llm.common import stored, table, words_of
+from layerkit.llm.common import once, stored, table, words_of
 from layerkit.llm.tokens import public_tokenizer
 
 
@@ -27,6 +27,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_chunk_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without repeated chunks of lines; documents left without a word go."""
     left = line_dedup.remove_repeated_chunks(docs).select(*docs.columns)
+    left = once(left, "text", F.col("text")).select(*docs.columns)  # filter and length read it too
     left = left.filter(F.length(F.translate("text", " \t\n\u000b\f\r", "")) > 0)
     return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 

@@ -60,3 +60,12 @@ def test_stages(spark, sf_dir):
     assert sorted((r.doc_id, r.piece, r.start, r.length) for r in packed) == sorted(
         (r.doc_id, r.piece, r.start, r.length) for r in P.run(spark, sf_dir).collect()
     )
+
+
+def test_texts_are_put_together_once_for_filter_and_length(spark):
+    text = "\n".join(f"line number {i} of a text." for i in range(9))
+    rows = [(1, text, "en", "s", 1), (2, text, "en", "s", 1), (3, None, "en", "s", 0), (4, f"other\n{text}\nend", "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    left = P.line_chunk_dedup(spark, docs, "")
+    assert left._jdf.queryExecution().optimizedPlan().toString().count("array_except(") == 1
+    assert all(r["n_chars"] == len(r["text"]) for r in left.collect())
