@@ -288,8 +288,9 @@ def scd2_merge(
     """Merge new change rows, late ones too, into a stored history (same ``widths`` as made it).
 
     The segments of the (key, bin) that a new row falls into are split back into the sequence
-    values that confirmed them, run again with the new rows, and stitched to the others. One row
-    per (key, sequence) stays, as in a single pass; merging the same rows again changes nothing.
+    values that confirmed them, run again with the new rows, and stitched to the others. Keys
+    without new rows stay as they are stored. One row per (key, sequence) stays, as in a single
+    pass; merging the same rows again changes nothing.
 
     ``keep``: stores the merged segments (``persist``, or written and read back), which stitching
     reads twice; without it they are made twice.
@@ -299,8 +300,11 @@ def scd2_merge(
     widths = bin_widths(new_rows, seq, widths)
     visible = [c for c in new_rows.columns if c in {*keys, *payload}]
     new = _binned(_events(new_rows, keys, seq, tie_break, payload), widths)
-    stored = state.select(
-        F.struct(*keys).alias("__key"), bin_of(state, START_AT, widths).alias("__bin"),
+    met, keyed = new_rows.select(F.struct(*keys).alias("__key")).distinct(), state.withColumn("__key", F.struct(*keys))
+    # a history depends on the rows of its own key alone
+    as_stored = keyed.join(met, "__key", "left_anti").select(*visible, START_AT, END_AT, OPENS, CONFIRMED)
+    stored = keyed.join(met, "__key", "left_semi").select(
+        "__key", bin_of(state, START_AT, widths).alias("__bin"),
         F.col(CONFIRMED).alias("__c"), F.struct(*payload).alias("__p"), F.lit(False).alias("__new"),
     )
     both = stored.unionByName(new.select("__key", "__bin", "__c", "__p", F.lit(True).alias("__new")))
@@ -311,4 +315,5 @@ def scd2_merge(
     # the same rule as for ties in a feed: tie-breaks, then payload
     won = split.groupBy("__key", "__bin", F.col("__c")[0]["seq"].alias("__seq")).agg(F.max(F.struct("__c", "__p")).alias("__w"))
     segments = _numbered(_runs(won.select("__key", "__bin", "__seq", "__w.__c", "__w.__p"), True))
-    return _visible(_stitched(keep(segments) if keep else segments, widths), keys, visible, OPENS, CONFIRMED)
+    merged = _visible(_stitched(keep(segments) if keep else segments, widths), keys, visible, OPENS, CONFIRMED)
+    return merged.unionByName(as_stored)

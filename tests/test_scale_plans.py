@@ -97,20 +97,21 @@ def test_late_deliveries_are_made_once(spark, monkeypatch):
 
 
 def test_a_merge_deals_stored_segments_once(spark, scratch):
-    """One scan of the state, one shuffle by (key, bin) beside that of the new rows' ties; what
-    stitching reads twice is kept."""
+    """One scan of the state and one shuffle by (key, bin) for all steps on segments; what stitching
+    reads twice is kept, and keys without new rows are not in it."""
     schema, kept = "k string, seq int, src string, v string", []
-    old = spark.createDataFrame([("a", 1, "f", "A"), ("a", 5, "f", "A"), ("a", 70000, "f", "A"), (None, 2, "f", "B")], schema)
+    old = spark.createDataFrame([("a", 1, "f", "A"), ("a", 5, "f", "A"), ("a", 70000, "f", "A"), (None, 2, "f", "B"), ("z", 4, "f", "Z")], schema)
     new = spark.createDataFrame([("a", 3, "f", "B"), ("a", 5, "g", "A"), ("n", 1, "f", "N"), (None, None, "f", "B")], schema)
     cdc.scd2_state(old, "k", "seq", ("src",)).write.parquet(f"{scratch}/state")
     merged = cdc.scd2_merge(
         spark.read.parquet(f"{scratch}/state"), new, "k", "seq", ("src",), keep=lambda s: kept.append(s.persist()) or s,
     )
     plan = kept[0]._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("FileScan parquet") == 1 and plan.count("Exchange hashpartitioning") == 2
+    assert plan.count("FileScan parquet") == 1 and plan.count("REPARTITION_BY_COL") == 1
     assert len(kept) == 1 and "InMemoryRelation" in optimized(merged)
     got, want = cdc.visible_scd2(merged), cdc.scd2(old.unionByName(new), "k", "seq", ("src",))
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert {r["k"] for r in kept[0].select("__key.k").collect()} == {"a", "n", None}
     kept[0].unpersist()
 
 
