@@ -1,0 +1,72 @@
+"""What the file flows leave on disk, and that it does not decide which row wins."""
+
+import glob
+import os
+import time
+
+from pyspark.sql import functions as F
+
+from layerkit import session
+from layerkit.plans import queries
+
+SF = "/root/testdata/sf0.001"
+
+
+def _local(path):
+    return path.replace("file:", "")
+
+
+def _files(path, *folders):
+    return [f for f in glob.glob(f"{_local(path)}/**/*", recursive=True) if os.path.isfile(f) and not f.endswith("_SUCCESS")]
+
+
+def _runs(spark, *labels):
+    root = f"{_local(session.checkpoint_root(spark))}/layerkit-runs"
+    return {d for d in os.listdir(root) if d.startswith(labels)} if os.path.isdir(root) else set()
+
+
+def _shuffles(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {n for n in (files.apply(i).getName() for i in range(files.size())) if n.startswith("shuffle_")}
+
+
+def test_jobs_of_stored_rows_leave_no_shuffle(spark, scratch):
+    before, was = _shuffles(spark), spark.conf.get(session.FREED)
+    rows = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.sum("id").alias("s"))
+    kept = session.stored(rows, f"{scratch}/rows")
+    assert spark.conf.get(session.FREED) == was
+    for _ in range(100):  # files go behind the job
+        if not _shuffles(spark) - before:
+            break
+        time.sleep(0.1)
+    assert not _shuffles(spark) - before
+    assert kept.count() == 7
+    session.remove(spark, f"{scratch}/rows")
+    assert not os.path.exists(_local(f"{scratch}/rows"))
+
+
+def test_rows_are_ranked_as_the_feed_has_them(spark):
+    """Neither the text nor the cleaned payload is shuffled."""
+    lines = queries.tt.json_lines(spark, SF, "line_items")
+    above, _, below = lines._jdf.queryExecution().optimizedPlan().toString().partition("RepartitionByExpression")
+    assert "Window" in above and "format_string" in above
+    assert "line_item_id" in below and not any(x in below for x in ("json", "trim(", "format_string"))
+
+
+def test_a_delivery_is_compressed_and_lands_at_one_time(spark, scratch):
+    queries.write_raw(spark, SF, f"{scratch}/raw", "customers", ranks=(1, 1))
+    first = {f: os.path.getmtime(f) for f in _files(f"{scratch}/raw")}
+    time.sleep(0.1)
+    before = _runs(spark, "lines-")
+    queries.write_raw(spark, SF, f"{scratch}/raw", "customers", ranks=(2, None))
+    times = {f: os.path.getmtime(f) for f in _files(f"{scratch}/raw")}
+    assert all(f.endswith(".txt.gz") for f in times) and len({os.path.dirname(f) for f in times}) > 20
+    assert first.items() <= times.items()  # files of earlier deliveries are left alone
+    # by the times of its tasks, a later version could be older than an earlier one
+    assert len({t for f, t in times.items() if f not in first}) == 1
+    assert _runs(spark, "lines-") == before
+
+
+def test_bounded_batches_go_by_the_size_of_files(spark):
+    rows = queries.ingest_bounded_batches(spark, SF)
+    assert rows.filter("in_several_batches").count() == rows.count() > 0
